@@ -1,0 +1,22 @@
+"""Where a job keeps what it writes for itself."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+CHECKPOINT_SETTING = "spark.checkpoint.dir"
+
+
+def work_dir(spark: SparkSession, name: str) -> str:
+    """A new directory for ``name`` in the folder all executors share, as the
+    session names it. Only a local session may do without the setting."""
+    shared = spark.conf.get(CHECKPOINT_SETTING, None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_SETTING} to a shared folder")
+        shared = tempfile.mkdtemp(prefix="rowharbor-")
+        spark.conf.set(CHECKPOINT_SETTING, shared)
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
