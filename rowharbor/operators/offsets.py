@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowharbor.functions.lsn import lsn_number
+from rowharbor.work_dir import work_dir
 
 OFFSETS_DDL = "pipeline_id INT, last_lsn STRING, updated_at TIMESTAMP_NTZ"
 
@@ -65,15 +66,17 @@ def current_offsets(spark: SparkSession, table: str) -> DataFrame:
 
 
 def update_offsets(spark: SparkSession, table: str, source: DataFrame) -> None:
-    """Upsert ``source`` into the offsets table as its next version."""
+    """Upsert ``source`` into the offsets table as its next version. The merged
+    rows are written aside first, as a table that is read is not overwritten."""
     create_offsets_table(spark, table)
     newest = spark.table(table).agg(F.max("version")).first()[0]
     version = 0 if newest is None else newest + 1
-    merged = merged_offsets(current_offsets(spark, table), source)
-    merged.createOrReplaceTempView("rowharbor_merged_offsets")
+    aside = work_dir(spark, "offsets")
+    merged_offsets(current_offsets(spark, table), source).write.parquet(aside)
     spark.sql(
         f"""INSERT OVERWRITE {table} PARTITION (version = {version})
-            SELECT pipeline_id, last_lsn, updated_at FROM rowharbor_merged_offsets"""
+            SELECT pipeline_id, last_lsn, updated_at FROM {{merged}}""",
+        merged=spark.read.parquet(aside),
     )
 
 

@@ -22,7 +22,7 @@ def packed_batches(
     has, and a large table's batches are spread over all tasks.
     """
     envelope = F.to_json(F.struct("schema", "payload", "op", "ts_ms"))
-    batch = F.floor(F.col(sequence) / F.lit(batch_rows))
+    batch = F.expr(f"`{sequence}` div {int(batch_rows)}")
     return (
         envelopes.select(
             "cdc_table",

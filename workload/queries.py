@@ -10,7 +10,7 @@ from rowharbor.functions import change_text as ct
 from rowharbor.functions.types import type_label
 from rowharbor.operators import catalog, changes, offsets, packing, settings, snapshot
 from rowharbor.plans.jobs import copy_table, follow_log, land_log
-from rowharbor.plans.work_dir import work_dir
+from rowharbor.work_dir import work_dir
 from rowharbor.sinks.dataset import read_change_table, read_landed
 from workload import inputs
 
