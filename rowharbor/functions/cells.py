@@ -8,39 +8,42 @@ from pyspark.sql import Column, functions as F
 INTEGER_PATTERN = r"\A[+-]?[0-9]+\z"
 FLOAT_PATTERN = r"\A[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\z"
 NON_FINITE_PATTERN = r"(?i)\A[+-]?(inf|infinity|nan)\z"
+LONGEST_NON_FINITE = len("+infinity")
 UNNAMED_PREFIX = "col_"
 UNNAMED_PATTERN = r"\Acol_[0-9]+\z"
+# A float without exponent and of at most this many digits is always finite.
+PLAIN_FLOAT_PATTERN = r"\A[+-]?([0-9]{1,300}[.]?[0-9]*|[.][0-9]+)\z"
 
 
-def _opened(token: Column) -> Column:
-    """What follows the first parenthesis, without the closing ones; the token
-    itself, marked untagged, when it has no parenthesis."""
+def _inside(token: Column) -> Column:
+    """What follows the first parenthesis, without the closing ones; null when
+    the token has no parenthesis."""
     at = F.instr(token, "(")
-    return F.struct(
-        (at > 0).alias("tagged"),
-        F.when(at > 0, F.rtrim(F.substr(token, at + F.lit(1)), F.lit(")")))
-        .otherwise(token)
-        .alias("text"),
-    )
+    return F.when(at > 0, F.rtrim(F.substr(token, at + F.lit(1)), F.lit(")")))
 
 
-def _variant(opened: Column) -> Column:
-    text = opened["text"]
+def _variant(token: Column, text: Column) -> Column:
+    """Variant of a token whose inside is ``text``. Most cells are told apart by
+    their first character; the patterns stand before the casts because a cast
+    also takes '12 ' and '1d', and because a failing one is slow."""
     number = text.try_cast("double")
-    finite = F.when(
-        ~F.isnan(number) & (F.abs(number) < F.lit(float("inf"))), number
-    ).cast("variant")
+    finite = F.when(F.abs(number) < F.lit(float("inf")), number).cast("variant")
     whole = text.try_cast("bigint").cast("variant")
-    words = text.cast("variant")
     unquoted = F.trim(text, F.lit('"')).cast("variant")
-    # A quoted cell is never a number, so long strings skip the patterns. The
-    # patterns stand before the casts because a cast also takes '12 ' and '1d'.
+    # Signs, the point and the digits lie between these two characters.
+    maybe_number = (text >= "+") & (text < ":")
+    non_finite = (F.octet_length(text) <= LONGEST_NON_FINITE) & text.rlike(
+        NON_FINITE_PATTERN
+    )
     return (
-        F.when(~opened["tagged"], words)
+        F.when(text.isNull(), token.cast("variant"))
         .when(text.startswith('"'), unquoted)
-        .when(text.rlike(INTEGER_PATTERN), F.coalesce(whole, finite))
-        .when(text.rlike(FLOAT_PATTERN), finite)
-        .when(text.rlike(NON_FINITE_PATTERN), F.lit(None).cast("variant"))
+        .when(
+            maybe_number & text.rlike(INTEGER_PATTERN), F.coalesce(whole, finite)
+        )
+        .when(maybe_number & text.rlike(PLAIN_FLOAT_PATTERN), number.cast("variant"))
+        .when(maybe_number & text.rlike(FLOAT_PATTERN), finite)
+        .when(non_finite, F.lit(None).cast("variant"))
         .otherwise(unquoted)
     )
 
@@ -48,12 +51,13 @@ def _variant(opened: Column) -> Column:
 def decode_cell(token: Column) -> Column:
     """Variant of one printed cell such as ``I64(7)`` or ``String("x")``:
     integer, float, string, or null for a non-finite float."""
-    return _variant(_opened(token))
+    return _variant(token, _inside(token))
 
 
 def decode_cells(tokens: Column) -> Column:
-    """``decode_cell`` over an array of tokens."""
-    return F.transform(F.transform(tokens, _opened), _variant)
+    """``decode_cell`` over an array of tokens. ``tokens`` is read twice, so it
+    should be a column rather than an expression."""
+    return F.zip_with(tokens, F.transform(tokens, _inside), _variant)
 
 
 def cell_names(cells: Column, names: Column) -> Column:

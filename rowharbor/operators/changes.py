@@ -96,8 +96,8 @@ def text_envelopes(
     text = F.col("event_text")
     located = located_changes(changes, lookup, scope, limit_bytes)
     decoded = located.withColumn(
-        "cells", decode_cells(ct.split_cells(ct.value_list(text)))
-    )
+        "tokens", ct.split_cells(ct.value_list(text))
+    ).withColumn("cells", decode_cells(F.col("tokens")))
     return with_payload(decoded, raw_payload(text)).select(*_envelope(keep))
 
 

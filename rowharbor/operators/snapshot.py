@@ -49,13 +49,17 @@ def text_snapshot(
     """Envelopes of printed snapshot rows ``(table_id, row_text, read_ts, ...)``."""
     text = F.col("row_text")
     known = F.col("columns").isNotNull()
-    cells = F.when(known, decode_cells(ct.split_cells(ct.row_list(text))))
+    tokens = F.when(known, ct.split_cells(ct.row_list(text)))
     schema = (
         F.when(~known, snapshot_schema_without_columns())
         .when(F.col("raw_id") == F.col("oid"), F.col("schema"))
         .otherwise(schema_object(F.col("table_name"), F.col("columns")))
     )
-    decoded = located_rows(rows, lookup, limit_bytes).withColumn("cells", cells)
+    decoded = (
+        located_rows(rows, lookup, limit_bytes)
+        .withColumn("tokens", tokens)
+        .withColumn("cells", decode_cells(F.col("tokens")))
+    )
     return with_payload(decoded, data_payload(text)).select(
         change_table(F.col("table_name")).alias("cdc_table"),
         schema.alias("schema"),
