@@ -26,10 +26,12 @@ from rowharbor.operators.payload import with_payload
 # A table of this name is never landed; operations of typed kinds.
 UNKNOWN_TABLE = "unknown_table"
 KIND_OPERATIONS = {"insert": "c", "update": "u", "delete": "d"}
+CONTROL_KINDS = ("relation", "begin", "commit", "type")
 # Our names for why a record is not landed.
 CONTROL = "control"
 NO_OPERATION = "no operation"
 NO_TABLE = "no table"
+BAD_CELLS = "bad cells"
 
 
 def row_changes(changes: DataFrame) -> DataFrame:
@@ -117,46 +119,44 @@ def typed_envelopes(
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
     """Envelopes of typed change records: values keep their types and nulls, and
-    the operation comes from ``kind`` alone."""
+    the operation comes from ``kind`` alone. Records whose cells could not be
+    read are not landed; ``rejected_typed_changes`` has them."""
     known = lookup.keeping(lookup.df.filter(F.col("table_name") != UNKNOWN_TABLE))
     kinds = list(KIND_OPERATIONS)
     located = attach(
-        changes.filter(F.lower("kind").isin(kinds))
+        changes.filter(F.lower("kind").isin(kinds) & F.col("cells").isNotNull())
         .withColumn("op", kind_op(F.col("kind")))
         .withColumn("oid", F.col("table_oid").cast("string")),
         known,
         [*scope, "oid"],
         "inner",
-        keep or ["commit_ts"],
+        ["commit_ts", *keep],
         limit_bytes,
     )
     no_cells = F.parse_json(F.lit("{}"))
     return with_payload(located, no_cells).select(*_envelope(keep))
 
 
-def rejected_changes(
+def _rejected(
     changes: DataFrame,
     lookup: Lookup,
-    scope: Sequence[str] = (),
-    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    early: Column,
+    scope: Sequence[str],
+    salt_by: Sequence[str],
+    limit_bytes: int,
 ) -> DataFrame:
-    """Text records that are not landed, each with the reason: a control record,
-    no known operation, or no mapped table."""
-    text = F.col("event_text")
+    """Records with an early reason, or without a mapped table for their oid."""
     known = lookup.keeping(
         lookup.df.filter(F.col("table_name") != UNKNOWN_TABLE)
         .select(*scope, "oid")
         .withColumn("mapped", F.lit(True))
     )
-    early = F.when(ct.is_control(text), F.lit(CONTROL)).when(
-        ~ct.has_operation(text), F.lit(NO_OPERATION)
-    )
     checked = attach(
-        with_table_oid(changes.withColumn("early", early)),
+        changes.withColumn("early", early),
         known,
         [*scope, "oid"],
         "left",
-        ["event_text"],
+        salt_by,
         limit_bytes,
     )
     reason = F.coalesce(
@@ -167,3 +167,38 @@ def rejected_changes(
         .filter(F.col("reason").isNotNull())
         .drop("early", "mapped")
     )
+
+
+def rejected_changes(
+    changes: DataFrame,
+    lookup: Lookup,
+    scope: Sequence[str] = (),
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
+    """Text records that are not landed, each with the reason: a control record,
+    no known operation, or no mapped table."""
+    text = F.col("event_text")
+    early = F.when(ct.is_control(text), F.lit(CONTROL)).when(
+        ~ct.has_operation(text), F.lit(NO_OPERATION)
+    )
+    return _rejected(
+        with_table_oid(changes), lookup, early, scope, ["event_text"], limit_bytes
+    )
+
+
+def rejected_typed_changes(
+    changes: DataFrame,
+    lookup: Lookup,
+    scope: Sequence[str] = (),
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
+    """Typed records that are not landed, each with the reason: as for text
+    records, or cells that could not be read."""
+    kind = F.lower("kind")
+    early = (
+        F.when(kind.isin(*CONTROL_KINDS), F.lit(CONTROL))
+        .when(kind_op(kind).isNull(), F.lit(NO_OPERATION))
+        .when(F.col("cells").isNull(), F.lit(BAD_CELLS))
+    )
+    located = changes.withColumn("oid", F.col("table_oid").cast("string"))
+    return _rejected(located, lookup, early, scope, ["commit_ts", "lsn"], limit_bytes)

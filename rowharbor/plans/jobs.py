@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowharbor.operators.catalog import table_columns, table_lookup
 from rowharbor.operators.changes import (
     rejected_changes,
+    rejected_typed_changes,
     text_envelopes,
     typed_envelopes,
 )
@@ -17,7 +18,12 @@ from rowharbor.operators.lookup import Lookup, stored
 from rowharbor.operators.offsets import latest_positions, update_offsets
 from rowharbor.operators.snapshot import typed_snapshot
 from rowharbor.sinks.dataset import land
-from rowharbor.streaming.landing import start_landing, start_rejects
+from rowharbor.sources.spread import spread
+from rowharbor.streaming.landing import (
+    FLUSH_INTERVAL_MS,
+    start_rejects,
+    start_writer,
+)
 
 POSITION = ("pipeline_id", "lsn")
 
@@ -58,16 +64,16 @@ def follow_log(
     scope: Sequence[str] = (),
     once: bool = False,
     compact: bool = False,
+    interval_ms: int = FLUSH_INTERVAL_MS,
 ) -> StreamingQuery:
-    """Land a streaming change log."""
-    return start_landing(
-        _envelopes(log, lookup, scope),
-        root,
-        stream,
-        f"{checkpoints}/{stream}",
-        once=once,
-        compact=compact,
-    )
+    """Land a streaming change log. The envelopes are built per micro-batch, as a
+    batch job: it is planned adaptively, and a batch of few files is spread."""
+
+    def write(batch: DataFrame, land_id: str) -> None:
+        land_log(spread(batch), lookup, root, land_id, scope, compact)
+
+    checkpoint = f"{checkpoints}/{stream}"
+    return start_writer(log, write, stream, checkpoint, once, interval_ms)
 
 
 def follow_rejects(
@@ -78,8 +84,14 @@ def follow_rejects(
     scope: Sequence[str] = (),
     once: bool = False,
 ) -> StreamingQuery:
-    """Keep a text log's records that are not landed."""
-    return start_rejects(rejected_changes(log, lookup, scope), path, checkpoint, once)
+    """Keep the records of a log that are not landed."""
+    if "cells" in log.columns:
+        rejects = rejected_typed_changes(log, lookup, scope)
+        # Variants are kept as text, so that the bad records are easy to look at.
+        rejects = rejects.withColumn("cells", F.to_json("cells"))
+    else:
+        rejects = rejected_changes(log, lookup, scope)
+    return start_rejects(rejects, path, checkpoint, once)
 
 
 def record_positions(spark: SparkSession, landed: DataFrame, offsets: str) -> None:

@@ -198,12 +198,19 @@ def test_json_log_with_typed_cells(spark, where):
     records = change_log.read_typed_log(spark, where["log"], "json")
     bad = records.filter("bad_cells IS NOT NULL").collect()
     assert [(r["lsn"], r["bad_cells"]) for r in bad] == [("0/3", "not an array")]
-    good = records.filter("bad_cells IS NULL")
-    rows = changes.typed_envelopes(good, lookup_of(spark), keep=["lsn"])
+    rows = changes.typed_envelopes(records, lookup_of(spark), keep=["lsn"])
     assert payloads(rows, "lsn") == {
         "0/1": {"id": 7, "name": "a, ] b"},
         "0/2": {"id": 8, "name": None},
     }
+    stream = change_log.read_typed_log(spark, where["log"], "json", streaming=True)
+    jobs.follow_rejects(
+        stream, lookup_of(spark), where["other"], where["state"], once=True
+    ).awaitTermination()
+    kept = spark.read.parquet(where["other"]).collect()
+    assert [(r["lsn"], r["reason"], r["bad_cells"]) for r in kept] == [
+        ("0/3", "bad cells", "not an array")
+    ]
 
 
 def test_plain_text_log(spark, where):

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowharbor.operators.catalog import table_lookup
 from rowharbor.operators.lookup import Lookup, measured
+from rowharbor.sources.spread import spread
 
 PUBLICATION = "pub_o"
 ORDERS_OID = "20001"
@@ -121,7 +122,7 @@ def as_text_log(events: DataFrame) -> DataFrame:
 
 
 def text_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_text_log(table(spark, sf_dir, "events"))
+    return as_text_log(spread(table(spark, sf_dir, "events")))
 
 
 def streamed_text_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +135,7 @@ def streamed_text_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def typed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = "CASE WHEN event_id % 7 <> 0 THEN event_id % 2 = 0 END"
-    return table(spark, sf_dir, "events").select(
+    return spread(table(spark, sf_dir, "events")).select(
         "event_id",
         F.col("user_id").cast("int").alias("pipeline_id"),
         F.expr(LSN).alias("lsn"),
@@ -152,7 +153,7 @@ def typed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_rows_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").select(
+    return spread(table(spark, sf_dir, "orders")).select(
         "o_orderkey",
         F.expr(ORDER_ID_TEXT).alias("table_id"),
         F.expr(ORDER_ROW_TEXT).alias("row_text"),
@@ -161,7 +162,7 @@ def order_rows_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_rows_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.lit(f"TableId({DOCUMENTS_OID})").alias("table_id"),
         F.expr(DOCUMENT_ROW_TEXT).alias("row_text"),

@@ -11,6 +11,7 @@ from rowharbor.functions.types import type_label
 from rowharbor.operators import catalog, changes, offsets, packing, settings, snapshot
 from rowharbor.plans.jobs import copy_table, follow_log, land_log
 from rowharbor.work_dir import work_dir
+from rowharbor.sources.spread import spread
 from rowharbor.sinks.dataset import read_change_table, read_landed
 from workload import inputs
 
@@ -193,7 +194,7 @@ def typed_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = inputs.table(spark, sf_dir, "orders").withColumn(
+    orders = spread(inputs.table(spark, sf_dir, "orders")).withColumn(
         "read_ts", F.col("o_orderdate").cast("timestamp")
     )
     rows = snapshot.typed_snapshot(
@@ -250,7 +251,7 @@ def _counted(landed: DataFrame) -> DataFrame:
 
 
 def _land_orders(spark: SparkSession, sf_dir: str, root: str) -> None:
-    orders = inputs.table(spark, sf_dir, "orders")
+    orders = spread(inputs.table(spark, sf_dir, "orders"))
     lookup = inputs.event_lookup(spark)
     copy_table(orders, lookup, inputs.ORDERS_OID, root, "snapshot-orders")
 
