@@ -67,7 +67,8 @@ def current_offsets(spark: SparkSession, table: str) -> DataFrame:
 
 def update_offsets(spark: SparkSession, table: str, source: DataFrame) -> None:
     """Upsert ``source`` into the offsets table as its next version. The merged
-    rows are written aside first, as a table that is read is not overwritten."""
+    rows are written aside first, as a table that is read is not overwritten. The
+    version before stays for readers that began with it; older ones go."""
     create_offsets_table(spark, table)
     newest = spark.table(table).agg(F.max("version")).first()[0]
     version = 0 if newest is None else newest + 1
@@ -78,6 +79,9 @@ def update_offsets(spark: SparkSession, table: str, source: DataFrame) -> None:
             SELECT pipeline_id, last_lsn, updated_at FROM {{merged}}""",
         merged=spark.read.parquet(aside),
     )
+    spark.sql(
+        f"ALTER TABLE {table} DROP IF EXISTS PARTITION (version = {version - 2})"
+    )
 
 
 def last_offset(

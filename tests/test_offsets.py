@@ -56,5 +56,8 @@ def test_table_versions(spark):
     got = {r["pipeline_id"]: r["last_lsn"] for r in current.collect()}
     assert got == {1: "0/1", 2: "0/5", 3: "0/3"}
     assert offsets.last_offset(current, 2).first()[0] == "0/5"
-    assert spark.table(name).select("version").distinct().count() == 2
+    offsets.update_offsets(spark, name, second)
+    assert offsets.current_offsets(spark, name).count() == 3
+    versions = spark.table(name).select("version").distinct().collect()
+    assert {r[0] for r in versions} == {1, 2}
     spark.sql(f"DROP TABLE {name}")
