@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rowharbor.functions.lsn import lsn_number
 from rowharbor.work_dir import work_dir
 
-OFFSETS_DDL = "pipeline_id INT, last_lsn STRING, updated_at TIMESTAMP_NTZ"
-
 
 def create_offsets_table(spark: SparkSession, table: str) -> None:
     """Create the offsets table, versions as partitions, unless it is there."""
@@ -22,7 +20,7 @@ def create_offsets_table(spark: SparkSession, table: str) -> None:
         f"""CREATE TABLE IF NOT EXISTS {table} (
             pipeline_id INT NOT NULL,
             last_lsn STRING,
-            updated_at TIMESTAMP_NTZ,
+            updated_at TIMESTAMP_NTZ DEFAULT localtimestamp(),
             version BIGINT
         ) USING parquet PARTITIONED BY (version)"""
     )
@@ -89,3 +87,10 @@ def last_offset(
 ) -> DataFrame:
     """Offset of one pipeline: no row, or one whose LSN may be null."""
     return offsets.filter(F.col("pipeline_id") == pipeline_id).select(*columns).limit(1)
+
+
+def resume_position(spark: SparkSession, table: str, pipeline_id: int) -> str | None:
+    """LSN that a pipeline got to; None when it is not known."""
+    create_offsets_table(spark, table)
+    row = last_offset(current_offsets(spark, table), pipeline_id).first()
+    return None if row is None else row["last_lsn"]

@@ -37,8 +37,8 @@ def create_settings_table(spark: SparkSession, table: str = SETTINGS_TABLE) -> N
             dbname STRING NOT NULL,
             publication_name STRING NOT NULL,
             replication_id BIGINT NOT NULL,
-            created_at TIMESTAMP_NTZ,
-            updated_at TIMESTAMP_NTZ
+            created_at TIMESTAMP_NTZ DEFAULT localtimestamp(),
+            updated_at TIMESTAMP_NTZ DEFAULT localtimestamp()
         ) USING parquet"""
     )
 

@@ -22,7 +22,7 @@ def ensure_change_table(
             SCHEMA_DATABASE VARIANT,
             PAYLOAD VARIANT NOT NULL,
             OPERATION STRING NOT NULL,
-            CREATED_AT TIMESTAMP_NTZ,
+            CREATED_AT TIMESTAMP_NTZ DEFAULT localtimestamp(),
             LAND_ID STRING
         ) USING parquet PARTITIONED BY (LAND_ID)"""
     )

@@ -48,14 +48,15 @@ def test_table_versions(spark):
     name = "offsets_of_pipelines"
     first = spark.createDataFrame([(1, "0/1"), (2, "0/2")], "pipeline_id int, last_lsn string")
     second = spark.createDataFrame([(2, "0/5"), (3, "0/3")], "pipeline_id int, last_lsn string")
-    offsets.create_offsets_table(spark, name)
+    assert offsets.resume_position(spark, name, 2) is None
     assert offsets.current_offsets(spark, name).count() == 0
     offsets.update_offsets(spark, name, first)
     offsets.update_offsets(spark, name, second)
     current = offsets.current_offsets(spark, name)
     got = {r["pipeline_id"]: r["last_lsn"] for r in current.collect()}
     assert got == {1: "0/1", 2: "0/5", 3: "0/3"}
-    assert offsets.last_offset(current, 2).first()[0] == "0/5"
+    assert offsets.resume_position(spark, name, 2) == "0/5"
+    assert offsets.resume_position(spark, name, 9) is None
     offsets.update_offsets(spark, name, second)
     assert offsets.current_offsets(spark, name).count() == 3
     versions = spark.table(name).select("version").distinct().collect()

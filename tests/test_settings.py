@@ -65,9 +65,10 @@ def test_settings_table(spark):
     settings.create_settings_table(spark, "settings_source")
     settings.create_settings_table(spark, "settings_source")
     spark.sql(
-        "INSERT INTO settings_source VALUES (1, 'h', 5432, 'u', 'x', 'db', 'pub', 3, "
-        "current_timestamp(), current_timestamp())"
+        f"INSERT INTO settings_source ({', '.join(settings.SETTINGS)}) "
+        "VALUES (1, 'h', 5432, 'u', 'x', 'db', 'pub', 3)"
     )
+    assert spark.table("settings_source").filter("created_at IS NULL").count() == 0
     got = settings.pipeline_settings(spark.table("settings_source"))
     assert got.columns == list(settings.SETTINGS)
     assert settings.pipeline_ids(got).first()[0] == 1

@@ -98,6 +98,11 @@ def test_catalog_tables(spark):
     assert counts(rows, "LAND_ID") == {("a",): 3, ("b",): 4}
     ids = rows.select(F.variant_get("PAYLOAD", "$.id", "int")).collect()
     assert sorted(r[0] for r in ids) == [0, 0, 1, 1, 2, 2, 3]
+    spark.sql(
+        f"INSERT INTO {name} (PAYLOAD, OPERATION, LAND_ID) "
+        "VALUES (parse_json('{}'), 'c', 'hand')"
+    )
+    assert spark.table(name).filter("CREATED_AT IS NULL").count() == 0
     tables.drop_change_table(spark, "users")
     assert not spark.catalog.tableExists(name)
     tables.drop_change_table(spark, "users")
