@@ -1,15 +1,47 @@
-"""Log sequence numbers."""
+"""Log sequence numbers: ``X/Y`` in hexadecimal, or one decimal number."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# Fixed value: what one step of the part before the slash counts.
+HIGH_STEP = 4294967296
+
+
+def _part(lsn: Column, i: int) -> Column:
+    return F.split_part(lsn, F.lit("/"), F.lit(i))
+
+
+def _has_slash(lsn: Column) -> Column:
+    return F.instr(lsn, "/") > 0
+
 
 def lsn_number(lsn: Column) -> Column:
-    """Order of an ``X/Y`` hexadecimal LSN, which text order gets wrong. A plain
-    decimal LSN is its own number."""
-    high = F.conv(F.split_part(lsn, F.lit("/"), F.lit(1)), 16, 10).cast("decimal(20,0)")
-    low = F.conv(F.split_part(lsn, F.lit("/"), F.lit(2)), 16, 10).cast("decimal(20,0)")
+    """Order of an LSN, which text order gets wrong; null when it is none."""
+    high = F.conv(_part(lsn, 1), 16, 10).cast("decimal(20,0)")
+    low = F.conv(_part(lsn, 2), 16, 10).cast("decimal(20,0)")
     return F.when(
-        F.instr(lsn, "/") > 0, (high * F.lit(4294967296) + low).cast("decimal(20,0)")
+        _has_slash(lsn), (high * F.lit(HIGH_STEP) + low).cast("decimal(20,0)")
     ).otherwise(lsn.try_cast("decimal(20,0)"))
+
+
+def lsn_digits(lsn: Column) -> tuple[Column, Column]:
+    """Digits before and after the slash; with the number they make the text."""
+    slash = _has_slash(lsn)
+    return (
+        F.length(_part(lsn, 1)),
+        F.when(slash, F.length(_part(lsn, 2))).otherwise(F.lit(0)),
+    )
+
+
+def lsn_text(number: Column, high_digits: Column, low_digits: Column) -> Column:
+    """Text of an LSN, in upper case as the source writes it."""
+    high = F.hex(F.floor(number / F.lit(HIGH_STEP)).cast("long"))
+    low = F.hex((number % F.lit(HIGH_STEP)).cast("long"))
+    zero = F.lit("0")
+    return F.when(
+        low_digits > 0,
+        F.concat(
+            F.lpad(high, high_digits, zero), F.lit("/"), F.lpad(low, low_digits, zero)
+        ),
+    ).otherwise(F.lpad(number.cast("string"), high_digits, zero))

@@ -59,6 +59,7 @@ def located_changes(
     lookup: Lookup,
     scope: Sequence[str] = (),
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    salt_by: Sequence[str] = ("event_text",),
 ) -> DataFrame:
     """Row changes with ``oid`` and their table's lookup columns; changes of
     tables that are not mapped are dropped."""
@@ -68,7 +69,7 @@ def located_changes(
         known,
         [*scope, "oid"],
         "inner",
-        ["event_text"],
+        salt_by,
         limit_bytes,
     )
 
@@ -96,7 +97,8 @@ def text_envelopes(
 ) -> DataFrame:
     """Envelopes of text change records."""
     text = F.col("event_text")
-    located = located_changes(changes, lookup, scope, limit_bytes)
+    salt_by = ["event_text", *keep]
+    located = located_changes(changes, lookup, scope, limit_bytes, salt_by)
     decoded = located.withColumn(
         "tokens", ct.split_cells(ct.value_list(text))
     ).withColumn("cells", decode_cells(F.col("tokens")))

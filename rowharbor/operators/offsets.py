@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rowharbor.functions.lsn import lsn_number
+from rowharbor.functions.lsn import lsn_digits, lsn_number, lsn_text
 from rowharbor.work_dir import work_dir
 
 
@@ -27,10 +27,27 @@ def create_offsets_table(spark: SparkSession, table: str) -> None:
 
 
 def latest_positions(changes: DataFrame) -> DataFrame:
-    """Highest LSN of every pipeline in a batch of changes; partial maxima are
-    taken before the shuffle, so a busy pipeline costs no more than another."""
-    return changes.groupBy("pipeline_id").agg(
-        F.max_by("lsn", lsn_number(F.col("lsn"))).alias("last_lsn")
+    """Highest LSN of every pipeline in a batch of changes.
+
+    The first maximum is of numbers, grouped by pipeline and the LSN's number of
+    digits: numbers are reduced by hash before the shuffle, where a maximum that
+    carries text would sort all rows. What is left is a few rows per pipeline.
+    """
+    lsn = F.col("lsn")
+    high_digits, low_digits = lsn_digits(lsn)
+    tops = (
+        changes.select(
+            "pipeline_id",
+            lsn_number(lsn).alias("number"),
+            high_digits.alias("high_digits"),
+            low_digits.alias("low_digits"),
+        )
+        .groupBy("pipeline_id", "high_digits", "low_digits")
+        .agg(F.max("number").alias("number"))
+    )
+    text = lsn_text(F.col("number"), F.col("high_digits"), F.col("low_digits"))
+    return tops.groupBy("pipeline_id").agg(
+        F.max_by(text, F.col("number")).alias("last_lsn")
     )
 
 

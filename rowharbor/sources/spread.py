@@ -10,7 +10,8 @@ FEW = 4
 def spread(rows: DataFrame) -> DataFrame:
     """Rows of an input that would be read by less than a quarter of the cores,
     such as one small file, over all cores. Larger inputs have tasks enough and
-    are left where they are, without a shuffle; so are streams."""
+    are left where they are, without a shuffle; so are streams. For inputs as
+    they are read: counting the partitions of later steps could run them."""
     if rows.isStreaming:
         return rows
     cores = rows.sparkSession.sparkContext.defaultParallelism

@@ -19,11 +19,20 @@ def test_lsn_order_is_numeric(spark):
 
 def test_latest_positions(spark):
     log = spark.createDataFrame(
-        [(1, "0/9"), (1, "0/10"), (2, "A/0"), (2, "9/FFFF")],
+        [(1, "0/9"), (1, "0/10"), (2, "A/0"), (2, "9/FFFF"), (3, "16/0000B374"),
+         (3, "16/0000B2FF"), (4, "99"), (4, "0100"), (5, None), (5, "x"),
+         (6, "FFFFFFFF/FFFFFFFF"), (6, None)],
         "pipeline_id int, lsn string",
-    )
+    )
     got = {tuple(r) for r in offsets.latest_positions(log).collect()}
-    assert got == {(1, "0/10"), (2, "A/0")}
+    assert got == {
+        (1, "0/10"),
+        (2, "A/0"),
+        (3, "16/0000B374"),
+        (4, "0100"),
+        (5, None),
+        (6, "FFFFFFFF/FFFFFFFF"),
+    }
 
 
 def test_upsert(spark):
