@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowharbor.functions.envelope import TABLE_SUFFIX
 from rowharbor.sinks.dataset import change_rows
+from rowharbor.work_dir import work_dir
 
 
 def change_table_name(table_name: str, database: str = "default") -> str:
@@ -65,9 +66,14 @@ def insert_all(
     database: str = "default",
 ) -> None:
     """Land a mixed batch in the change tables of ``table_names``, one statement
-    per table. The dataset sink does the same in one job; this is for a batch of
-    few tables whose readers want catalog tables. Names that differ only in case
-    share a change table."""
+    per table. The batch is built once and put aside by table, so a statement
+    reads its own rows only. Names that differ only in case share a change table.
+    The dataset sink does the same in one job; this is for readers that want
+    catalog tables."""
+    spark = envelopes.sparkSession
+    aside = work_dir(spark, "batch")
+    envelopes.write.partitionBy("cdc_table").parquet(aside)
+    batch = spark.read.schema(envelopes.schema).parquet(aside)
     for name in sorted({name.upper() for name in table_names}):
-        own = envelopes.filter(F.col("cdc_table") == f"{name}{TABLE_SUFFIX}")
+        own = batch.filter(F.col("cdc_table") == f"{name}{TABLE_SUFFIX}")
         insert_changes(own, name, land_id, database)

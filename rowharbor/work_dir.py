@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -10,6 +11,11 @@ from pyspark.sql import SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="rowharbor-")
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new directory for ``name`` in the folder all executors share, as the
     session names it. Only a local session may do without the setting."""
@@ -17,6 +23,5 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a shared folder")
-        shared = tempfile.mkdtemp(prefix="rowharbor-")
-        spark.conf.set(CHECKPOINT_SETTING, shared)
+        shared = _local_folder()
     return f"{shared}/{name}-{uuid.uuid4().hex}"
