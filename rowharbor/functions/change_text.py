@@ -95,10 +95,10 @@ def checked_table_oid(oid: Column, text: Column) -> Column:
 def value_list(text: Column) -> Column:
     """Cells of a change record as one string, null when no list is found. The
     list ends at the first closing bracket, even one inside a cell."""
-    rest = _after(text, VALUES_MARKER)
-    return F.when(
-        F.instr(rest, VALUES_END) > 0, F.substring_index(rest, VALUES_END, 1)
-    )
+    at = F.instr(text, VALUES_MARKER)
+    start = at + F.lit(len(VALUES_MARKER))
+    end = F.position(F.lit(VALUES_END), text, start)
+    return F.when((at > 0) & (end > 0), F.substr(text, start, end - start))
 
 
 def row_list(text: Column) -> Column:
