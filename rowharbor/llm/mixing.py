@@ -115,14 +115,17 @@ def mixture(
     text: str = "text",
     lang: str = "lang",
     source: str = "source",
+    row_key: Column | None = None,
 ) -> DataFrame:
     """doc_id, domain, lang, source, tokens, leaf_budget, copies of every document.
 
     ``weights`` gives whole-number weights by level and name (``*`` for the others).
     The budget is ``share`` of all tokens; ``copies`` is how often a document is read.
+    ``row_key`` is passed through.
     """
     name = lambda c: F.coalesce(c.cast("string"), F.lit(NO_NAME))
     order = F.md5(F.concat_ws("|", F.lit(seed), name(F.col(doc_id)), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))))
+    own_key = [] if row_key is None else [row_key.alias("row_key")]
     rows = settled(
         docs.select(
             F.col(doc_id).alias("doc_id"),
@@ -131,6 +134,7 @@ def mixture(
             name(F.col(source)).alias("source"),
             tokens_of(F.col(text)).alias("tokens"),
             order.alias("order"),
+            *own_key,
         )
     )
     leaves = settled(rows.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n_docs")))
@@ -169,4 +173,28 @@ def mixture(
         "tokens",
         "leaf_budget",
         (F.col("epochs") + reached.cast("int")).cast("int").alias("copies"),
+        *[F.col("row_key") for _ in own_key],
+    )
+
+
+def mixed(docs: DataFrame, weights: dict[str, dict[str, int]], *, domain: Column, **options) -> DataFrame:
+    """The documents of the mixture, each as often as it is read, with their columns.
+
+    Rows of one id and text are chosen by their tokens together: such rows all stay
+    if one of them is chosen.
+    """
+    doc_id, text = options.get("doc_id", "doc_id"), options.get("text", "text")
+    key = F.xxhash64(F.col(doc_id), F.col(text))
+    chosen = (
+        mixture(docs, weights, domain=domain, row_key=key, **options)
+        .where("copies > 0")
+        .groupBy("row_key")
+        .agg(F.max("copies").alias("copies"))
+    )
+    kept = docs.columns
+    return (
+        docs.withColumn("_row_key", key)
+        .join(chosen, F.col("_row_key") == F.col("row_key"))
+        .withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies")))
+        .select(*kept)
     )

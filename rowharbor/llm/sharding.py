@@ -31,7 +31,7 @@ BINS = 2048
 ROW_OVERHEAD = 8
 #: A group of equal texts up to this share of a shard is never divided by a cut,
 #: and a histogram bin up to this share is not looked into.
-WHOLE_GROUP = 0.005
+WHOLE_GROUP = 0.1
 CLOSE_ENOUGH = 0.001
 #: Keys have 32 bits; three histograms find one value.
 KEY_SCALES = (1 << 21, 1 << 10, 1)
@@ -118,7 +118,8 @@ def _split_level(rows: DataFrame, nodes: list[Node], n_dimensions: int, shard_by
                 wanted[k] -= before
                 found[k] += key * scale
                 group = scale == 1 and key_name == "text_key"
-                if weight <= shard_bytes * (WHOLE_GROUP if group else CLOSE_ENOUGH):
+                row = scale == 1 and key_name == "row_key"
+                if row or weight <= shard_bytes * (WHOLE_GROUP if group else CLOSE_ENOUGH):
                     # too small to cut: it goes whole to the nearer side
                     found[k] += scale if wanted[k] > weight / 2 else 0
                     todo.discard(k)
