@@ -2,6 +2,8 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from oracle_check import difference, duck
+from workload.oracles import ORACLES as workload_oracles
+from workload.queries import QUERIES as workload_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 QUERIES = spark_entry.queries()
@@ -9,10 +11,10 @@ ORACLES = spark_entry.oracle_sql()
 
 
 def test_every_query_has_its_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(workload_queries) == set(workload_oracles)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+@pytest.mark.parametrize("name", list(workload_queries))
 def test_query_against_sql(spark, name):
     assert difference(spark, duck(SF_DIR), QUERIES[name], ORACLES[name], SF_DIR) == ""
 
