@@ -3,6 +3,7 @@
 Every suffix is ordered through its first ``WIDTH`` bytes only; suffixes that are
 then still equal are the repeated windows. The passes, most significant digit first:
 
+0. Copies of a whole text are known by their hashes; the first of them is sorted.
 1. The first digit of a suffix is the least (by hash) of the ``SEED``-byte strings in
    its window. Equal windows have equal digits at equal places, and neighbouring
    suffixes mostly share one, so a digit stands for a run of some 16 suffixes. Digits
@@ -179,14 +180,14 @@ def _bits(answers: pa.Table, begins: np.ndarray, name: str) -> np.ndarray:
     return out
 
 
-RUN_FIELDS = "key bigint, digit bigint, block int, doc_id bigint, text_hash bigint, start int, run binary, covered int"
+RUN_FIELDS = "key int, digit int, block int, doc_id bigint, text_hash int, start int, run binary, covered int"
 _RUN_SCHEMA = pa.schema(
     [
-        ("key", pa.int64()),
-        ("digit", pa.int64()),
+        ("key", pa.int32()),
+        ("digit", pa.int32()),
         ("block", pa.int32()),
         ("doc_id", pa.int64()),
-        ("text_hash", pa.int64()),
+        ("text_hash", pa.int32()),
         ("start", pa.int32()),
         ("run", pa.binary()),
         ("covered", pa.int32()),
@@ -201,6 +202,10 @@ def _ship_runs(n_buckets: int, n_keys: int):
     def run(block: pa.Table, answers: pa.Table) -> pa.Table:
         if not block.num_rows or not answers.num_rows:
             return _RUN_SCHEMA.empty_table()
+        number = block.column("block")[0].as_py()
+        told = answers.column("copies").is_valid()
+        copies = answers.filter(told).column("copies").to_pylist()
+        answers = answers.filter(pc.invert(told))
         texts = _as_array(block.column("text").cast(pa.large_string()))
         ids = _doc_ids(block)
         rows, first, count, digits = _block_runs(texts)
@@ -208,7 +213,10 @@ def _ship_runs(n_buckets: int, n_keys: int):
         again, hot = _bits(answers, begins, "again"), _bits(answers, begins, "hot")
         by_digit = np.argsort(distinct)
         at = by_digit[np.searchsorted(distinct[by_digit], digits)]
-        keep = again[at]
+        names = block.column("text_hash").to_numpy()
+        known = {(c["doc_id"], c["text_hash"]) for listed in copies for c in listed}
+        copy = np.array([pair in known for pair in zip(ids.tolist(), names.tolist())], bool)
+        keep = again[at] & ~copy[rows]
         rows, first, count, digits, hot = rows[keep], first[keep], count[keep], digits[keep], hot[at][keep]
         if hot.any():  # runs of very common digits are taken apart at once
             parts = np.where(hot, count, 1)
@@ -241,22 +249,35 @@ def _ship_runs(n_buckets: int, n_keys: int):
             key[h] = (whole % np.uint64(n_keys)).astype(np.int64)
             digits = digits.copy()
             digits[h] = whole
-        names = block.column("text_hash").to_numpy()
         settled = covered > 0
         runs = _emptied(runs, settled)
-        return pa.Table.from_arrays(
-            [
-                pa.array(key),
-                pa.array(digits.view(np.int64)),
-                pa.array(np.full(len(rows), block.column("block")[0].as_py()), pa.int32()),
-                pa.array(owner),
-                pa.array(names[rows]),
-                pa.array(first, pa.int32()),
-                runs,
-                pa.array(covered, pa.int32()),
-            ],
-            schema=_RUN_SCHEMA,
-        )
+        found = [
+            pa.array(key, pa.int32()),
+            pa.array((digits & np.uint64(0x7FFFFFFF)).astype(np.int32)),
+            pa.array(np.full(len(rows), number), pa.int32()),
+            pa.array(owner),
+            pa.array(names[rows]),
+            pa.array(first, pa.int32()),
+            runs,
+            pa.array(covered, pa.int32()),
+        ]
+        # copies of a whole text are settled as they are
+        lengths = np.diff(offsets)
+        whole = np.flatnonzero(copy & (lengths >= WIDTH))
+        nothing = np.zeros(len(whole), np.int32)
+        copied = [
+            pa.array(nothing + np.int32(number % n_keys)),
+            pa.array(nothing),
+            pa.array(nothing + np.int32(number)),
+            pa.array(ids[whole]),
+            pa.array(names[whole]),
+            pa.array(nothing),
+            pa.nulls(len(whole), pa.binary()),
+            pa.array(lengths[whole], pa.int32()),
+        ]
+        return pa.concat_tables(
+            [pa.Table.from_arrays(x, schema=_RUN_SCHEMA) for x in (found, copied)]
+        ).combine_chunks()
 
     return run
 
@@ -292,7 +313,7 @@ def _equal_windows(data: np.ndarray, start: np.ndarray, owner: np.ndarray) -> np
     return covered
 
 
-SPAN_FIELDS = "block int, doc_id bigint, text_hash bigint, start int, covered int"
+SPAN_FIELDS = "block int, doc_id bigint, text_hash int, start int, covered int"
 
 
 def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +331,7 @@ def _compare_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             owner = columns[1][open_]
             least = np.full(len(words), LAST_ID)
             np.minimum.at(least, code, owner)
-            digit = np.empty(len(words), np.int64)
+            digit = np.empty(len(words), np.int32)
             digit[code] = table.column("digit").to_numpy()[open_]
             ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
             data = np.frombuffer(words.buffers()[2], np.uint8)
@@ -399,6 +420,23 @@ def _cut_texts(block: pa.Table, spans: pa.Table) -> pa.Table:
     )
 
 
+def _copies(rows: DataFrame) -> DataFrame:
+    """For each block, the ids whose whole text an earlier document has."""
+    body = F.coalesce("text", F.lit(""))
+    named = rows.select(
+        "block",
+        "text_hash",
+        F.coalesce("doc_id", F.lit(LAST_ID)).alias("doc_id"),
+        F.xxhash64(body, F.lit(1)).alias("name"),
+        F.crc32(body.cast("binary")).alias("sum"),
+        F.octet_length(body).alias("size"),
+    ).where(F.col("size") >= WIDTH)
+    same = ["name", "sum", "size"]
+    least = named.groupBy(*same).agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    later = named.join(least.where("n > 1").drop("n"), same).where("doc_id > least")
+    return later.groupBy("block").agg(F.collect_list(F.struct("doc_id", "text_hash")).alias("copies"))
+
+
 def without_repeats(
     docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -410,7 +448,7 @@ def without_repeats(
     rows = docs.select(
         F.col(doc_id).cast("bigint").alias("doc_id"),
         F.col(text).alias("text"),
-        F.xxhash64(text).alias("text_hash"),
+        F.hash(text).alias("text_hash"),
         F.pmod(F.xxhash64(F.col(doc_id), F.lit("block")), F.lit(n_blocks)).cast("int").alias("block"),
     )
     # read three times, shuffled once: the exchange is the same each time
@@ -422,10 +460,13 @@ def without_repeats(
         .sortWithinPartitions("bucket")
         .mapInArrow(_answer_digits, "block int, bucket int, again binary, hot binary")
     )
+    answers = digits.withColumn("copies", F.lit(None).cast("array<struct<doc_id:bigint,text_hash:int>>")).unionByName(
+        _copies(rows), allowMissingColumns=True
+    )
     n_keys = n_blocks * 4
     spans = (
         rows.groupBy("block")
-        .cogroup(digits.groupBy("block"))
+        .cogroup(answers.groupBy("block"))
         .applyInArrow(_ship_runs(n_blocks, n_keys), RUN_FIELDS)
         .repartition(n_blocks, "key")
         .sortWithinPartitions("key")
