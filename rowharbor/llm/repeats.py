@@ -451,6 +451,7 @@ def without_repeats(
         F.hash(text).alias("text_hash"),
         F.pmod(F.xxhash64(F.col(doc_id), F.lit("block")), F.lit(n_blocks)).cast("int").alias("block"),
     )
+    copies = _copies(rows)
     # read three times, shuffled once: the exchange is the same each time
     rows = rows.repartition(n_blocks, "block")
     digits = (
@@ -461,7 +462,7 @@ def without_repeats(
         .mapInArrow(_answer_digits, "block int, bucket int, again binary, hot binary")
     )
     answers = digits.withColumn("copies", F.lit(None).cast("array<struct<doc_id:bigint,text_hash:int>>")).unionByName(
-        _copies(rows), allowMissingColumns=True
+        copies, allowMissingColumns=True
     )
     n_keys = n_blocks * 4
     spans = (
