@@ -1,3 +1,16 @@
 """SQL that gives the rows of the queries which SQL can express."""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                   sha256(coalesce(html, '')) AS payload_digest
+            FROM pages),
+        f AS (SELECT payload_digest, min(page_id) AS first FROM p
+              WHERE payload_bytes >= 100 GROUP BY payload_digest)
+        SELECT p.page_id, p.payload_bytes, p.payload_digest,
+               CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+        FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
+    """,
+}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowharbor.llm import contamination as decontamination
-from rowharbor.llm import language, mixing, quality, repeats, sharding, similarity
+from rowharbor.llm import extraction, language, mixing, quality, repeats, sharding, similarity, warc
 from rowharbor.llm.tables import table
+from rowharbor.work_dir import work_dir
 
 DOMAIN = F.concat(F.lit("d"), F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(4)))
 MIX = {
@@ -44,6 +45,19 @@ def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.main_text(pages, extraction.fit(pages))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_records(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -54,5 +68,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_repeats, op2_mix, op3_language, op5_shards, op6_contamination, op9_jaccard_join, op10_quality)
+    for f in (op1_repeats, op2_mix, op3_language, op5_shards, op6_contamination, op7_html_text, op8_warc, op9_jaccard_join, op10_quality)
 }

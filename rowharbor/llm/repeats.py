@@ -43,7 +43,7 @@ PLACES = WIDTH - SEED + 1
 BLOCK_BYTES = 8 << 20
 SLICE = 1 << 18
 LONGEST_SLICE = 1 << 22
-HOT_DOCUMENTS = 20_000
+HOT_DOCUMENTS = 4_000
 LAST_ID = (1 << 63) - 1
 
 
