@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowharbor.llm import contamination as decontamination
-from rowharbor.llm import extraction, language, mixing, quality, repeats, sharding, similarity, warc
+from rowharbor.llm import extraction, language, licences, mixing, quality, repeats, sharding, similarity, warc
 from rowharbor.llm.tables import table
 from rowharbor.work_dir import work_dir
 
@@ -33,6 +33,11 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scanned(docs, licences.fit(docs))
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
@@ -68,5 +73,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_repeats, op2_mix, op3_language, op5_shards, op6_contamination, op7_html_text, op8_warc, op9_jaccard_join, op10_quality)
+    for f in (op1_repeats, op2_mix, op3_language, op4_licences, op5_shards, op6_contamination, op7_html_text, op8_warc, op9_jaccard_join, op10_quality)
 }
