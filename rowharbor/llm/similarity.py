@@ -50,6 +50,7 @@ HASHES = BANDS * ROWS
 STEP = 32
 TOLERANCE = 1e-6
 BLOCK = 1024
+BROADCAST_ROWS = 200_000
 PAIRS_AT_ONCE = 1 << 19
 COLUMNS_AT_ONCE = 2048
 
@@ -338,6 +339,11 @@ def blocks(rows: DataFrame, size: Column) -> DataFrame:
     ).drop("chunks", "other")
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """``rows`` (ids and counts), to be broadcast if they are few: up to some 10 MB."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition("key", "block").sortWithinPartitions("key", "block")
 
@@ -397,7 +403,8 @@ def near_duplicates(
         .select(F.col("root").alias("key"), F.col("node").alias("set_id"), "n")
         .join(sets.select("set_id", "rep", "copies"), "set_id")
     )
-    dealt = blocks(members.join(rows.withColumnRenamed("doc_id", "rep"), "rep"), F.col("n"))
+    members = settled(members)
+    dealt = blocks(rows.withColumnRenamed("doc_id", "rep").join(_sent(members), "rep"), F.col("n"))
     found = settled(
         _dealt(dealt.drop("n", "rep")).mapInArrow(
             _link_batches(least, threshold), "u bigint, v bigint, n_links bigint, n_texts bigint"
@@ -430,8 +437,13 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
 
     Of repeated rows (same id) one stays; rows without an id all stay.
     """
-    kept = docs.columns
-    found = near_duplicates(docs, **options)
-    chosen = found.where("doc_id = class_id").select("doc_id").distinct()
-    whole = docs.where("doc_id is not null").join(chosen, "doc_id", "left_semi")
-    return whole.dropDuplicates(["doc_id"]).select(*kept).union(docs.where("doc_id is null").select(*kept))
+    found = near_duplicates(docs, **options).where("doc_id is not null")
+    per_id = found.groupBy("doc_id").agg(F.min("class_id").alias("class_id"), F.count("*").alias("n"))
+    per_id = settled(per_id.where("n > 1 or class_id != doc_id"))
+    doc_id = options.get("doc_id", "doc_id")
+    gone = per_id.where("class_id != doc_id").select(F.col("doc_id").alias(doc_id))
+    left = docs.join(_sent(gone), doc_id, "left_anti")
+    if per_id.where("class_id = doc_id").isEmpty():
+        return left.select(*docs.columns)
+    unnamed = left.where(F.col(doc_id).isNull())
+    return left.where(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]).union(unnamed).select(*docs.columns)
