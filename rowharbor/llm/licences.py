@@ -178,10 +178,10 @@ def _probabilities(rows: DataFrame, classifier: Classifier, keys: list[str]) ->
     """``keys``, the likeliest licence family and its probability."""
     spark = rows.sparkSession
     n = len(classifier.families)
-    sums = [F.sum(F.col("weights")[k]).alias(f"w{k}") for k in range(n)]
+    sums = [F.coalesce(F.sum(F.col("weights")[k]), F.lit(0.0)).alias(f"w{k}") for k in range(n)]
     scored = (
-        rows.select(*keys, F.explode("grams").alias("gram"))
-        .join(F.broadcast(classifier.table(spark)), "gram")  # the templates' n-grams
+        rows.select(*keys, F.explode_outer("grams").alias("gram"))
+        .join(F.broadcast(classifier.table(spark)), "gram", "left")  # the templates' n-grams
         .groupBy(*keys)
         .agg(*sums)
     )

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowharbor.llm import contamination as decontamination
 from rowharbor.llm import extraction, language, licences, mixing, quality, repeats, sharding, similarity, warc
 from rowharbor.llm.tables import table
 from rowharbor.work_dir import work_dir
 
-DOMAIN = F.concat(F.lit("d"), F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(4)))
 MIX = {
     "domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1},
     "lang": {"en": 4, "*": 2},
@@ -17,13 +16,18 @@ MIX = {
 }
 
 
+def domain() -> Column:
+    """Documents have no domain of their own: sources are dealt to four."""
+    return F.concat(F.lit("d"), F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(4)))
+
+
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mixture(table(spark, sf_dir, "documents"), MIX, domain=DOMAIN)
+    return mixing.mixture(table(spark, sf_dir, "documents"), MIX, domain=domain())
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
