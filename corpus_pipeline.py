@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from rowharbor.llm import contamination, language, mixing, sharding, similarity
-from rowharbor.llm.queries import DOMAIN, MIX
+from rowharbor.llm.queries import MIX, domain
 from rowharbor.llm.tables import table
 from rowharbor.work_dir import work_dir
 
@@ -36,7 +36,7 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps each source's share of the token budget."""
-    return mixing.mixed(docs, MIX, domain=DOMAIN, share=TOKEN_SHARE, max_epochs=1)
+    return mixing.mixed(docs, MIX, domain=domain(), share=TOKEN_SHARE, max_epochs=1)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
