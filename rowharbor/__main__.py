@@ -14,6 +14,10 @@ from rowharbor.streaming.landing import FLUSH_INTERVAL_MS, flush_limits
 from rowharbor.work_dir import work_dir
 
 
+def first_line(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path, wholetext=True).first()[0].split("\n")[0].strip()
+
+
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="rowharbor")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -21,7 +25,7 @@ def arguments() -> argparse.ArgumentParser:
     catalog = jobs.add_parser("catalog", help="store a publication's columns")
     catalog.add_argument("--url", required=True)
     catalog.add_argument("--user", required=True)
-    catalog.add_argument("--password", required=True)
+    catalog.add_argument("--password-file", required=True, help="its first line")
     catalog.add_argument("--publication", required=True)
     catalog.add_argument("--columns", required=True, help="directory to write")
 
@@ -50,7 +54,7 @@ def arguments() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "catalog":
-        options = {"url": args.url, "user": args.user, "password": args.password}
+        options = {"url": args.url, "user": args.user, "password": first_line(spark, args.password_file)}
         columns = read_catalog(spark, options, args.publication)
         columns.write.mode("overwrite").parquet(args.columns)
         return

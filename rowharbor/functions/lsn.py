@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # Fixed value: what one step of the part before the slash counts.
 HIGH_STEP = 4294967296
+LSN_TEXT = r"\A([0-9A-Fa-f]{1,8}/[0-9A-Fa-f]{1,8}|[0-9]+)\z"
 
 
 def _part(lsn: Column, i: int) -> Column:
@@ -18,6 +19,7 @@ def _has_slash(lsn: Column) -> Column:
 
 def lsn_number(lsn: Column) -> Column:
     """Order of an LSN, which text order gets wrong; null when it is none."""
+    lsn = F.when(lsn.rlike(LSN_TEXT), lsn)
     high = F.conv(_part(lsn, 1), 16, 10).cast("decimal(20,0)")
     low = F.conv(_part(lsn, 2), 16, 10).cast("decimal(20,0)")
     return F.when(

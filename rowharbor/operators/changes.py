@@ -132,7 +132,8 @@ def typed_envelopes(
         known,
         [*scope, "oid"],
         "inner",
-        ["commit_ts", *keep],
+        # the rows of one transaction differ in their cells only
+        ["commit_ts", *keep, F.to_json("cells")],
         limit_bytes,
     )
     no_cells = F.parse_json(F.lit("{}"))

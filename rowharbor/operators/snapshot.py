@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,23 +21,29 @@ from rowharbor.operators.payload import with_payload
 
 
 def located_rows(
-    rows: DataFrame, lookup: Lookup, limit_bytes: int = BROADCAST_LIMIT_BYTES
+    rows: DataFrame,
+    lookup: Lookup,
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    scope: Sequence[str] = (),
 ) -> DataFrame:
     """Printed rows ``(table_id, row_text, ...)`` with the name and the columns
     of their table. The name is looked up by one reading of the id and the
-    columns by another, as they can differ; an unmapped name is the id itself."""
+    columns by another, as they can differ; an unmapped name is the id itself.
+    ``scope`` are the other key columns of a lookup of several databases."""
     by_name = lookup.keeping(
-        lookup.df.select(F.col("oid").alias("raw_id"), F.col("table_name").alias("known"))
+        lookup.df.select(
+            *scope, F.col("oid").alias("raw_id"), F.col("table_name").alias("known")
+        )
     )
     by_oid = lookup.keeping(lookup.df.drop("table_name"))
     keyed = rows.withColumn("raw_id", ct.raw_table_id(F.col("table_id"))).withColumn(
         "oid", ct.table_oid(F.col("table_id"))
     )
-    named = attach(keyed, by_name, ["raw_id"], "left", ["row_text"], limit_bytes)
+    named = attach(keyed, by_name, [*scope, "raw_id"], "left", ["row_text"], limit_bytes)
     named = named.withColumn(
         "table_name", F.coalesce(F.col("known"), F.col("raw_id"))
     ).drop("known")
-    return attach(named, by_oid, ["oid"], "left", ["row_text"], limit_bytes)
+    return attach(named, by_oid, [*scope, "oid"], "left", ["row_text"], limit_bytes)
 
 
 def text_snapshot(
@@ -45,6 +51,7 @@ def text_snapshot(
     lookup: Lookup,
     keep: Sequence[str] = (),
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    scope: Sequence[str] = (),
 ) -> DataFrame:
     """Envelopes of printed snapshot rows ``(table_id, row_text, read_ts, ...)``."""
     text = F.col("row_text")
@@ -56,7 +63,7 @@ def text_snapshot(
         .otherwise(schema_object(F.col("table_name"), F.col("columns")))
     )
     decoded = (
-        located_rows(rows, lookup, limit_bytes)
+        located_rows(rows, lookup, limit_bytes, scope)
         .withColumn("tokens", tokens)
         .withColumn("cells", decode_cells(F.col("tokens")))
     )
@@ -76,15 +83,24 @@ def typed_snapshot(
     oid: str,
     read_ts: str | None = None,
     keep: Sequence[str] = (),
+    scope: Mapping[str, int | str] | None = None,
 ) -> DataFrame:
     """Envelopes of one table's rows read with their types. The columns that are
     neither ``read_ts`` nor in ``keep`` are the table's. Of the lookup only this
-    table's single row is broadcast."""
+    table's single row is broadcast. ``scope`` names the table's database in a
+    lookup of several (``{"pipeline_id": 1}``) and is kept with the rows; more
+    than one row for the table is an error."""
+    scope = scope or {}
     cells = [c for c in rows.columns if c != read_ts and c not in keep]
     row = F.struct(*cells)
-    table = lookup.df.filter(F.col("oid") == oid).select(
+    own = F.col("oid") == oid
+    for column, value in scope.items():
+        own &= F.col(column) == value
+    table = lookup.df.filter(own).select(
         "table_name", "schema", F.lit(oid).alias("oid")
     )
+    if table.limit(2).count() > 1:
+        raise ValueError(f"the lookup has several tables {oid}; say which by scope")
     at = epoch_millis(F.col(read_ts) if read_ts else None)
     packed = rows.select(
         row.alias("cells"), at.alias("ts_ms"), F.lit(oid).alias("oid"), *keep
@@ -100,4 +116,5 @@ def typed_snapshot(
         F.lit(SNAPSHOT_OP).alias("op"),
         "ts_ms",
         *keep,
+        *[F.lit(value).alias(column) for column, value in scope.items()],
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,10 +37,15 @@ def prepare_lookup(
 
 
 def copy_table(
-    rows: DataFrame, lookup: Lookup, oid: str, root: str, land_id: str
+    rows: DataFrame,
+    lookup: Lookup,
+    oid: str,
+    root: str,
+    land_id: str,
+    scope: Mapping[str, int | str] | None = None,
 ) -> None:
-    """Land the initial copy of one table."""
-    land(typed_snapshot(rows, lookup, oid), root, land_id)
+    """Land the initial copy of one table; ``scope`` as in ``typed_snapshot``."""
+    land(typed_snapshot(rows, lookup, oid, scope=scope), root, land_id)
 
 
 def land_log(

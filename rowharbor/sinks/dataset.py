@@ -44,6 +44,8 @@ def land(envelopes: DataFrame, root: str, land_id: str, compact: bool = False) -
         rows = rows.hint("rebalance", F.col(TABLE_COLUMN))
     (
         rows.write.mode("overwrite")
+        # whatever the session says: a landing done again leaves no stale part
+        .option("partitionOverwriteMode", "static")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(TABLE_COLUMN)
         .parquet(f"{root}/{LANDING_COLUMN}={land_id}")
@@ -81,4 +83,10 @@ def migrate_schema_column(spark: SparkSession, old_root: str, new_root: str) ->
     one. The old data stays as it is."""
     old = spark.read.parquet(old_root)
     by = [c for c in (LANDING_COLUMN, TABLE_COLUMN) if c in old.columns]
-    with_variant_schema(old).write.mode("overwrite").partitionBy(*by).parquet(new_root)
+    (
+        with_variant_schema(old)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(new_root)
+    )

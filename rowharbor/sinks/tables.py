@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowharbor.functions.envelope import TABLE_SUFFIX
 from rowharbor.sinks.dataset import change_rows
-from rowharbor.work_dir import work_dir
+from rowharbor.work_dir import remove_dir, work_dir
 
 
 def change_table_name(table_name: str, database: str = "default") -> str:
@@ -61,19 +61,27 @@ def insert_changes(
 
 def insert_all(
     envelopes: DataFrame,
-    table_names: list[str],
+    table_names: list[str] | None,
     land_id: str,
     database: str = "default",
 ) -> None:
     """Land a mixed batch in the change tables of ``table_names``, one statement
-    per table. The batch is built once and put aside by table, so a statement
+    per table; with None, in those of all tables the batch has. Rows of a table
+    that is not among the names fail the landing before anything is written. The batch is built once and put aside by table, so a statement
     reads its own rows only. Names that differ only in case share a change table.
     The dataset sink does the same in one job; this is for readers that want
     catalog tables."""
     spark = envelopes.sparkSession
     aside = work_dir(spark, "batch")
-    envelopes.write.partitionBy("cdc_table").parquet(aside)
-    batch = spark.read.schema(envelopes.schema).parquet(aside)
-    for name in sorted({name.upper() for name in table_names}):
-        own = batch.filter(F.col("cdc_table") == f"{name}{TABLE_SUFFIX}")
-        insert_changes(own, name, land_id, database)
+    try:
+        envelopes.write.partitionBy("cdc_table").parquet(aside)
+        batch = spark.read.schema(envelopes.schema).parquet(aside)
+        found = {r[0].removesuffix(TABLE_SUFFIX) for r in batch.select("cdc_table").distinct().collect()}
+        names = found if table_names is None else {name.upper() for name in table_names}
+        if left_over := sorted(found - names):
+            raise ValueError(f"rows of tables that are not to be landed: {left_over}")
+        for name in sorted(names):
+            own = batch.filter(F.col("cdc_table") == f"{name}{TABLE_SUFFIX}")
+            insert_changes(own, name, land_id, database)
+    finally:
+        remove_dir(spark, aside)

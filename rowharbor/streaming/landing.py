@@ -1,15 +1,17 @@
 """Continuous landing.
 
-A micro-batch is a landing: its directory is named after the stream and the
-batch, so a batch that is done again after a crash replaces itself, and the
+A micro-batch is a landing: its directory is named after the stream, its
+checkpoint and the batch, so a batch that is done again after a crash replaces itself, and the
 checkpoint remembers which batches are done. Nothing is lost or doubled.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rowharbor.sinks.dataset import change_rows
@@ -36,6 +38,19 @@ def landing_id(stream: str, batch_id: int) -> str:
     return f"{stream}-{batch_id:012d}"
 
 
+def checkpoint_token(spark: SparkSession, checkpoint: str) -> str:
+    """What tells this checkpoint's landings from those of any other: a word
+    stored beside it at the first start. A stream with a new or lost checkpoint
+    begins at batch 0 again, but under another word."""
+    path = f"{checkpoint}-token"
+    try:
+        return spark.read.text(path).first()[0]
+    except AnalysisException:
+        token = uuid.uuid4().hex[:12]
+        spark.range(1).select(F.lit(token).alias("value")).coalesce(1).write.text(path)
+        return token
+
+
 def start_writer(
     envelopes: DataFrame,
     write: Writer,
@@ -47,11 +62,12 @@ def start_writer(
     """Start a stream that hands every micro-batch and its landing id to
     ``write``. ``once`` takes what is there in bounded batches and ends. The
     stream fails when a batch fails, and goes on from the checkpoint when started
-    again. ``stream`` names the landings: one name per checkpoint."""
+    again. ``stream`` and the checkpoint's token name the landings."""
+    stream_id = f"{stream}-{checkpoint_token(envelopes.sparkSession, checkpoint)}"
     writer = (
         envelopes.writeStream.queryName(stream)
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, n: write(batch, landing_id(stream, n)))
+        .foreachBatch(lambda batch, n: write(batch, landing_id(stream_id, n)))
     )
     if once:
         return writer.trigger(availableNow=True).start()

@@ -16,6 +16,12 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="rowharbor-")
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a directory that ``work_dir`` named, wherever it is stored."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new directory for ``name`` in the folder all executors share, as the
     session names it. Only a local session may do without the setting."""

@@ -71,3 +71,10 @@ def test_table_versions(spark):
     versions = spark.table(name).select("version").distinct().collect()
     assert {r[0] for r in versions} == {1, 2}
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_what_is_no_lsn_has_no_number(spark):
+    lsns = ["zz/qq", "1/2/3", "12 ", "0/1FFFFFFFFF", "", "-1", "0/1a2b"]
+    rows = spark.createDataFrame([(s,) for s in lsns], "s string")
+    got = [r[0] for r in rows.select(lsn_number(F.col("s"))).collect()]
+    assert got[:-1] == [None] * 6 and int(got[-1]) == 0x1A2B

@@ -126,3 +126,28 @@ def test_files_stay_few_when_compacted(spark, tmp_path):
         return sum(f.endswith(".parquet") for _, _, names in found for f in names)
 
     assert files("compact") <= 3 * 3 < files("plain")
+
+
+def test_insert_all_leaves_no_table_out(spark):
+    for name in ("users", "twins", "bare"):
+        tables.drop_change_table(spark, name)
+    with pytest.raises(ValueError, match="BARE"):
+        tables.insert_all(envelopes(spark), ["users", "twins"], "a")
+    tables.insert_all(envelopes(spark), None, "a")
+    total = sum(
+        spark.table(tables.change_table_name(r["cdc_table"].removesuffix("_CDC"))).count()
+        for r in envelopes(spark).select("cdc_table").distinct().collect()
+    )
+    assert total == envelopes(spark).count()
+
+
+def test_landing_again_replaces_itself_in_dynamic_mode(spark, tmp_path):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    root, rows = str(tmp_path), envelopes(spark)
+    spark.conf.set(key, "dynamic")
+    try:
+        dataset.land(rows, root, "a")
+        dataset.land(rows.filter("cdc_table = 'USERS_CDC'"), root, "a")
+    finally:
+        spark.conf.unset(key)
+    assert set(counts(dataset.read_landed(spark, root), "cdc_table")) == {("USERS_CDC",)}

@@ -1,10 +1,13 @@
 import json
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from helpers import lookup_of, payloads
+from helpers import TABLE_SCHEMA, USERS, lookup_of, payloads
 from rowharbor.operators import snapshot
+from rowharbor.operators.catalog import table_lookup
+from rowharbor.operators.lookup import measured
 
 
 def printed(spark, *rows):
@@ -97,3 +100,17 @@ def test_typed_rows_of_a_table_without_columns(spark):
         assert tuple(row)[:2] == (table, 9)
         assert json.loads(json.loads(row[2])["data"]) == {"id": 1, "name": "x"}
         assert row[3] == "{}"
+
+
+def test_scope_tells_equal_ids_apart(spark):
+    both = [(1, *USERS), (2, "16384", "orders", [("id", "int4"), ("total", "numeric")])]
+    lookup = measured(
+        table_lookup(spark.createDataFrame(both, f"pipeline_id int, {TABLE_SCHEMA}"))
+    )
+    rows = spark.createDataFrame([(1, 2.5), (2, 3.5)], "id int, total double")
+    with pytest.raises(ValueError, match="several"):
+        snapshot.typed_snapshot(rows, lookup, "16384")
+    got = snapshot.typed_snapshot(rows, lookup, "16384", scope={"pipeline_id": 2}).collect()
+    assert [(r["cdc_table"], r["pipeline_id"]) for r in got] == [("ORDERS_CDC", 2)] * 2
+    text = spark.createDataFrame([(2, "TableId(16384)", "x")], "pipeline_id int, table_id string, row_text string")
+    assert [r["table_name"] for r in snapshot.located_rows(text, lookup, scope=("pipeline_id",)).collect()] == ["orders"]

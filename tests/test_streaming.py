@@ -108,7 +108,8 @@ def test_a_failed_batch_is_done_again_without_loss_or_double(spark, where):
         run()
     assert ids(dataset.read_landed(spark, where["root"])) != KEPT
     run()
-    assert failed == ["main-000000000001"]
+    token = landing.checkpoint_token(spark, where["state"])
+    assert failed == [f"main-{token}-000000000001"]
     assert ids(dataset.read_landed(spark, where["root"])) == KEPT
 
 
@@ -221,3 +222,14 @@ def test_plain_text_log(spark, where):
     got = rows.select("cdc_table", "ts_ms", F.to_json("payload")).collect()
     assert [(r[0], r[2]) for r in got] == [("USERS_CDC", '{"id":1}')]
     assert abs(got[0][1] / 1000 - time.time()) < 600
+
+
+def test_a_new_checkpoint_keeps_what_landed(spark, where, tmp_path):
+    lookup = lookup_of(spark)
+    write_file(spark, where["log"], 0, 60)
+    follow(spark, where, lookup)
+    before = dataset.read_landed(spark, where["root"]).count()
+    assert before > 0
+    again = where | {"state": str(tmp_path / "another")}
+    follow(spark, again, lookup)
+    assert dataset.read_landed(spark, where["root"]).count() == 2 * before
