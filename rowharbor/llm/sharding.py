@@ -175,11 +175,13 @@ def shards(
     rows = settled(rows)
     group = ["text_crc32", "text_hash", "size"]
     least = rows.groupBy(*group).agg(*[F.min(f"of_{c}").alias(f"at_{c}") for c in present], F.count("*").alias("copies"))
-    rows = rows.join(least, group).select(
+    # settled, so that the join has shuffles of its own and a hot text's rows are split
+    least = settled(least.where("copies > 1").drop("copies"))
+    rows = rows.join(least, group, "left").select(
         "doc_id",
         "size",
         "text_crc32",
-        F.array(_log_rank(F.col("size"), 64.0), *[F.col(f"at_{c}") for c in present]).alias("at"),
+        F.array(_log_rank(F.col("size"), 64.0), *[F.coalesce(f"at_{c}", f"of_{c}") for c in present]).alias("at"),
         F.pmod(F.xxhash64("text_hash", "text_crc32"), F.lit(1 << 32)).alias("text_key"),
         F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1 << 32)).alias("row_key"),
         F.lit(0).cast("long").alias("node"),
