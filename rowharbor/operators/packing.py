@@ -7,11 +7,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BATCH_ROWS = 500
 
 
+def _envelope() -> Column:
+    return F.to_json(F.struct("schema", "payload", "op", "ts_ms"))
+
+
+def _batch_json(rows: Column) -> Column:
+    """The array of the rows' texts, in the order of the rows."""
+    texts = F.transform(F.array_sort(rows), lambda r: r["text"])
+    return F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]"))
+
+
 def packed_batches(
     envelopes: DataFrame, sequence: str, batch_rows: int = BATCH_ROWS
 ) -> DataFrame:
@@ -21,25 +31,44 @@ def packed_batches(
     LSN, say), so a batch has at most ``batch_rows`` rows however many the table
     has, and a large table's batches are spread over all tasks.
     """
-    envelope = F.to_json(F.struct("schema", "payload", "op", "ts_ms"))
     batch = F.expr(f"`{sequence}` div {int(batch_rows)}")
     return (
         envelopes.select(
             "cdc_table",
             batch.alias("batch"),
-            F.struct(F.col(sequence).alias("at"), envelope.alias("text")).alias("row"),
+            F.struct(F.col(sequence).alias("at"), _envelope().alias("text")).alias("row"),
         )
         .groupBy("cdc_table", "batch")
-        .agg(F.array_sort(F.collect_list("row")).alias("rows"))
-        .select(
-            "cdc_table",
-            "batch",
-            F.concat(
-                F.lit("["),
-                F.array_join(F.transform("rows", lambda r: r["text"]), ","),
-                F.lit("]"),
-            ).alias("batch_json"),
+        .agg(_batch_json(F.collect_list("row")).alias("batch_json"))
+    )
+
+
+def bounded_batches(
+    envelopes: DataFrame, sequence: str, batch_rows: int = BATCH_ROWS
+) -> DataFrame:
+    """One JSON array of envelopes per table and batch, for any ``sequence``: it may
+    repeat (the LSN of a bulk transaction) or have gaps.
+
+    Rows are dealt in ranges of table, sequence and envelope, so that the rows of one
+    sequence value are split too, and numbered within their range; a batch is
+    ``batch_rows`` of them, or less at the end of a range or table. Batch numbers rise
+    with the sequence but are not consecutive, and depend on how the rows were dealt.
+    """
+    order = ["cdc_table", "at", "tie"]
+    dealt = (
+        envelopes.select(
+            "cdc_table", F.col(sequence).alias("at"), _envelope().alias("text")
         )
+        .withColumn("tie", F.xxhash64("text"))
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+    )
+    # the id holds the range above bit 33 and the row's place in it below
+    return (
+        dealt.withColumn("id", F.monotonically_increasing_id())
+        .withColumn("place", F.expr("id & ((1L << 33) - 1)"))
+        .groupBy("cdc_table", F.expr(f"id - place + place div {int(batch_rows)}").alias("batch"))
+        .agg(_batch_json(F.collect_list(F.struct("at", "tie", "text"))).alias("batch_json"))
     )
 
 

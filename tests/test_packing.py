@@ -36,8 +36,22 @@ def test_flatten_gives_the_rows_back(spark):
     assert len(payloads(rows)) == 50
 
 
+def test_batches_of_any_sequence_are_bounded(spark):
+    rows = envelopes(spark, 900).withColumn("same", F.lit(7)).withColumn("gaps", F.col("n") * 1000)
+    for sequence in ("same", "gaps"):
+        batches = packing.bounded_batches(rows, sequence, 40).collect()
+        sizes = [len(json.loads(b["batch_json"])) for b in batches]
+        assert sum(sizes) == 900 and max(sizes) <= 40 and len(sizes) < 60
+    ids = [
+        [e["payload"]["id"] for e in json.loads(b["batch_json"])]
+        for b in sorted(batches, key=lambda b: b["batch"]) if b["cdc_table"] == "USERS_CDC"
+    ]
+    assert [i for batch in ids for i in batch] == list(range(0, 900, 3))
+
+
 def test_empty_batch(spark):
     rows = envelopes(spark, 3).filter("n < 0")
     assert packing.packed_batches(rows, "n").count() == 0
+    assert packing.bounded_batches(rows, "n").count() == 0
     empty = spark.createDataFrame([("X_CDC", "[]")], "cdc_table string, batch_json string")
     assert packing.flattened_batches(empty).count() == 0

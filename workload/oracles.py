@@ -260,6 +260,9 @@ SELECT doc_id, 'DOCUMENTS_CDC' AS cdc_table, key, value, stored_as FROM cells"""
     "batch_flatten": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
 SELECT concat(upper(table_name), '_CDC') AS cdc_table, event_id // 500 AS batch,
     op AS operation, table_name AS schema_name, event_id AS payload_id FROM located""",
+    "batch_bounds": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, true AS in_bounds,
+    op AS operation, event_id AS payload_id FROM located""",
     "landed_counts": COUNTED,
     "landed_stream": COUNTED,
     "landed_table": f"""WITH {TABLES}, {TYPED_LOCATED}

@@ -246,6 +246,25 @@ def batch_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches by a sequence that repeats: their rows, and whether each was in bounds."""
+    batches = packing.bounded_batches(_text_envelopes(spark, sf_dir), "pipeline_id")
+    size = F.size(F.from_json("batch_json", "array<struct<op:string>>"))
+    measured = batches.withColumn("in_bounds", size <= packing.BATCH_ROWS)
+    flat = packing.flattened_batches(
+        measured, keep=["cdc_table", "in_bounds"]
+    )
+    return flat.select(
+        "cdc_table",
+        "in_bounds",
+        "operation",
+        F.coalesce(
+            F.variant_get("payload", "$.event_id", "long"),
+            F.variant_get("payload", "$.col_0", "long"),
+        ).alias("payload_id"),
+    )
+
+
 def _counted(landed: DataFrame) -> DataFrame:
     return landed.groupBy("cdc_table", "operation").agg(F.count("*").alias("rows"))
 
@@ -354,6 +373,7 @@ QUERIES: dict[str, Query] = {
         snapshot_text_rows,
         snapshot_documents,
         batch_flatten,
+        batch_bounds,
         landed_counts,
         landed_stream,
         landed_table,
