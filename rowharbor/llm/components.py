@@ -8,8 +8,9 @@ from rowharbor.llm.tables import settled
 
 
 def _with_least(pairs: DataFrame) -> DataFrame:
-    """(u, v) with m, the least of u and all its neighbours."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+    """(u, v) with m, the least of u and all its neighbours. The least are settled, so
+    that the join has shuffles of its own and the pairs of a hot node are split."""
+    least = settled(pairs.groupBy("u").agg(F.min("v").alias("m")))
     return pairs.join(least, "u").select("u", "v", F.least("u", "m").alias("m"))
 
 

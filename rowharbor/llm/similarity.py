@@ -397,7 +397,9 @@ def near_duplicates(
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("sketch").alias("sketch"))
     )
     close = settled(components(candidate_edges(sets, least)))
-    sizes = close.groupBy("root").agg(F.count("*").alias("n"))
+    # what a hot key is joined with is settled first: a join with shuffles of its own
+    # splits the rows of the key, one fused with a grouping by it cannot
+    sizes = settled(close.groupBy("root").agg(F.count("*").alias("n")))
     members = (
         close.join(sizes, "root")
         .select(F.col("root").alias("key"), F.col("node").alias("set_id"), "n")
@@ -417,14 +419,15 @@ def near_duplicates(
     placed = sets.select("set_id", "rep", "copies").join(
         roots.select(F.col("node").alias("set_id"), "root"), "set_id", "left"
     ).withColumn("root", F.coalesce("root", "set_id"))
-    classes = placed.groupBy("root").agg(F.min("rep").alias("class_id"))
+    placed = settled(placed)
+    classes = settled(placed.groupBy("root").agg(F.min("rep").alias("class_id")))
     per_set = placed.join(classes, "root").join(links, "set_id", "left").select(
         "set_id",
         "class_id",
         (F.coalesce("n_links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("n_texts", F.lit(0)).alias("n_texts"),
     )
-    return named.join(per_set, "set_id", "left").select(
+    return named.join(settled(per_set), "set_id", "left").select(
         "doc_id",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).alias("n_links"),
