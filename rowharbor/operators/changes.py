@@ -32,6 +32,7 @@ CONTROL = "control"
 NO_OPERATION = "no operation"
 NO_TABLE = "no table"
 BAD_CELLS = "bad cells"
+BAD_RECORD = "bad record"
 
 
 def row_changes(changes: DataFrame) -> DataFrame:
@@ -140,6 +141,13 @@ def typed_envelopes(
     return with_payload(located, no_cells).select(*_envelope(keep))
 
 
+def _unreadable(changes: DataFrame) -> Column:
+    """Whether a record of a JSON log could not be read; other logs have none."""
+    if "bad_record" not in changes.columns:
+        return F.lit(False)
+    return F.col("bad_record").isNotNull()
+
+
 def _rejected(
     changes: DataFrame,
     lookup: Lookup,
@@ -178,11 +186,13 @@ def rejected_changes(
     scope: Sequence[str] = (),
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
-    """Text records that are not landed, each with the reason: a control record,
-    no known operation, or no mapped table."""
+    """Text records that are not landed, each with the reason: JSON that could not be
+    read, a control record, no known operation, or no mapped table."""
     text = F.col("event_text")
-    early = F.when(ct.is_control(text), F.lit(CONTROL)).when(
-        ~ct.has_operation(text), F.lit(NO_OPERATION)
+    early = (
+        F.when(_unreadable(changes), F.lit(BAD_RECORD))
+        .when(ct.is_control(text), F.lit(CONTROL))
+        .when(~ct.has_operation(text), F.lit(NO_OPERATION))
     )
     return _rejected(
         with_table_oid(changes), lookup, early, scope, ["event_text"], limit_bytes
@@ -199,7 +209,8 @@ def rejected_typed_changes(
     records, or cells that could not be read."""
     kind = F.lower("kind")
     early = (
-        F.when(kind.isin(*CONTROL_KINDS), F.lit(CONTROL))
+        F.when(_unreadable(changes), F.lit(BAD_RECORD))
+        .when(kind.isin(*CONTROL_KINDS), F.lit(CONTROL))
         .when(kind_op(kind).isNull(), F.lit(NO_OPERATION))
         .when(F.col("cells").isNull(), F.lit(BAD_CELLS))
     )

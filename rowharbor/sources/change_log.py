@@ -20,6 +20,13 @@ TYPED_JSON = (
     "pipeline_id INT, lsn STRING, commit_ts TIMESTAMP, table_oid LONG, "
     "kind STRING, cells STRING"
 )
+# Where a JSON record that cannot be read keeps its text.
+BAD_RECORD = "bad_record"
+_KEEP_BAD = {"columnNameOfCorruptRecord": BAD_RECORD}
+
+
+def _with_bad_record(schema: str) -> str:
+    return f"{schema}, {BAD_RECORD} STRING"
 
 
 def _load(
@@ -31,6 +38,8 @@ def _load(
     options: Mapping[str, str],
 ) -> DataFrame:
     reader = spark.readStream if streaming else spark.read
+    if file_format == "json":
+        schema, options = _with_bad_record(schema), {**options, **_KEEP_BAD}
     return reader.format(file_format).schema(schema).options(**options).load(path)
 
 
@@ -54,7 +63,8 @@ def read_text_log(
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Text change records. Plain text files hold one record per line and no
-    position or time: those come out as null and as the file's time."""
+    position or time: those come out as null and as the file's time. Lines of JSON
+    files that cannot be read are kept as text in ``bad_record``, else null."""
     options = options or {}
     if file_format == "text":
         lines = _load(spark, "text", "value STRING", path, streaming, options)
@@ -74,7 +84,8 @@ def read_typed_log(
     streaming: bool = False,
     options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Typed change records, from Parquet or JSON files."""
+    """Typed change records, from Parquet or JSON files; ``bad_record`` of JSON files
+    as in ``read_text_log``."""
     options = options or {}
     if file_format == "json":
         return parsed_cells(
@@ -94,6 +105,8 @@ def read_kafka_log(
     values = reader.format("kafka").options(**options).load()
     schema = TYPED_JSON if typed else TEXT_LOG
     log = values.select(
-        F.from_json(F.col("value").cast("string"), schema).alias("record")
+        F.from_json(
+            F.col("value").cast("string"), _with_bad_record(schema), _KEEP_BAD
+        ).alias("record")
     ).select("record.*")
     return parsed_cells(log) if typed else log

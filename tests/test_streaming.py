@@ -214,6 +214,20 @@ def test_json_log_with_typed_cells(spark, where):
     ]
 
 
+def test_broken_json_keeps_its_text(spark, where):
+    good = '{"pipeline_id":1,"lsn":"0/1","event_text":"Insert(TableId(16384), values: [I32(1)])"}'
+    broken = '{"pipeline_id":1,"lsn":"0/2","event_te'
+    spark.createDataFrame([(good,), (broken,)], "value string").coalesce(1).write.text(where["log"])
+    records = change_log.read_text_log(spark, where["log"], "json")
+    assert payloads(changes.text_envelopes(records, lookup_of(spark), keep=["lsn"]), "lsn") == {"0/1": {"id": 1}}
+    stream = change_log.read_text_log(spark, where["log"], "json", streaming=True)
+    jobs.follow_rejects(
+        stream, lookup_of(spark), where["other"], where["state"], once=True
+    ).awaitTermination()
+    kept = spark.read.parquet(where["other"]).collect()
+    assert [(r["reason"], r["bad_record"]) for r in kept] == [("bad record", broken)]
+
+
 def test_plain_text_log(spark, where):
     texts = [("Insert(TableId(16384), values: [I32(1)])",), ("Begin(x)",)]
     spark.createDataFrame(texts, "value string").write.text(where["log"])
