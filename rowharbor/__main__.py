@@ -7,9 +7,15 @@ import argparse
 from pyspark.sql import SparkSession
 
 from rowharbor.operators.settings import pipeline_actions, pipeline_settings
-from rowharbor.plans.jobs import follow_log, land_log, prepare_lookup
+from rowharbor.plans.jobs import (
+    TABLES_AT_ONCE,
+    copy_tables,
+    follow_log,
+    land_log,
+    prepare_lookup,
+)
 from rowharbor.sources.change_log import read_text_log, read_typed_log
-from rowharbor.sources.database import read_catalog
+from rowharbor.sources.database import read_catalog, read_table
 from rowharbor.streaming.landing import FLUSH_INTERVAL_MS, flush_limits
 from rowharbor.work_dir import work_dir
 
@@ -18,6 +24,11 @@ def first_line(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0].split("\n")[0].strip()
 
 
+def database_options(spark: SparkSession, args: argparse.Namespace) -> dict[str, str]:
+    password = first_line(spark, args.password_file)
+    return {"url": args.url, "user": args.user, "password": password}
+
+
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="rowharbor")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -29,6 +40,15 @@ def arguments() -> argparse.ArgumentParser:
     catalog.add_argument("--publication", required=True)
     catalog.add_argument("--columns", required=True, help="directory to write")
 
+    copy = jobs.add_parser("copy", help="land the initial copies of all tables")
+    copy.add_argument("--url", required=True)
+    copy.add_argument("--user", required=True)
+    copy.add_argument("--password-file", required=True, help="its first line")
+    copy.add_argument("--columns", required=True, help="what 'catalog' stored")
+    copy.add_argument("--root", required=True, help="dataset of change tables")
+    copy.add_argument("--name", required=True, help="name of the landings")
+    copy.add_argument("--tables-at-once", type=int, default=TABLES_AT_ONCE)
+
     for name, about in (("land", "land a log once"), ("follow", "land it as a stream")):
         job = jobs.add_parser(name, help=about)
         job.add_argument("--log", required=True)
@@ -44,6 +64,8 @@ def arguments() -> argparse.ArgumentParser:
             job.add_argument("--max-files", type=int)
             job.add_argument("--max-bytes", type=int)
             job.add_argument("--once", action="store_true")
+            job.add_argument("--rejects", help="directory for what is not landed")
+            job.add_argument("--offsets", help="table of positions to keep")
 
     actions = jobs.add_parser("actions", help="compare two versions of the settings")
     actions.add_argument("--running", required=True)
@@ -54,7 +76,7 @@ def arguments() -> argparse.ArgumentParser:
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.job == "catalog":
-        options = {"url": args.url, "user": args.user, "password": first_line(spark, args.password_file)}
+        options = database_options(spark, args)
         columns = read_catalog(spark, options, args.publication)
         columns.write.mode("overwrite").parquet(args.columns)
         return
@@ -68,6 +90,16 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
 
     columns = spark.read.parquet(args.columns)
     lookup = prepare_lookup(columns, work_dir(spark, "lookup"))
+    if args.job == "copy":
+        options = database_options(spark, args)
+        copy_tables(
+            lambda table: read_table(spark, options, table),
+            lookup,
+            args.root,
+            args.name,
+            at_once=args.tables_at_once,
+        )
+        return
     read = read_typed_log if args.typed else read_text_log
     if args.job == "land":
         log = read(spark, args.log, args.format)
@@ -83,6 +115,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         once=args.once,
         compact=args.compact,
         interval_ms=args.interval_ms,
+        rejects=args.rejects,
+        offsets=args.offsets,
     ).awaitTermination()
 
 

@@ -51,7 +51,9 @@ def attach(
     A lookup of at most ``limit_bytes`` is broadcast, so the rows stay where
     they are. A larger one is joined by shuffle: its rows are repeated once per
     salt and the rows spread over the salts by ``salt_by``, so a table that
-    holds a third of all rows is still worked on by many tasks.
+    holds a third of all rows is still worked on by many tasks. Nothing stands
+    between the join and its shuffles, so adaptive execution splits what one salt
+    has too much of, at any size of the table.
     """
     if lookup.size_bytes <= limit_bytes:
         return rows.join(F.broadcast(lookup.df), list(on), how)

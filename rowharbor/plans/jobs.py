@@ -1,8 +1,9 @@
-"""Jobs a user starts: copy a table, land a log, say what pipelines to change."""
+"""Jobs a user starts: copy tables, land a log, say what pipelines to change."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,9 +16,14 @@ from rowharbor.operators.changes import (
     typed_envelopes,
 )
 from rowharbor.operators.lookup import Lookup, stored
-from rowharbor.operators.offsets import latest_positions, update_offsets
+from rowharbor.operators.offsets import (
+    create_offsets_table,
+    current_offsets,
+    latest_positions,
+    update_offsets,
+)
 from rowharbor.operators.snapshot import typed_snapshot
-from rowharbor.sinks.dataset import land
+from rowharbor.sinks.dataset import LANDING_COLUMN, land
 from rowharbor.sources.spread import spread
 from rowharbor.streaming.landing import (
     FLUSH_INTERVAL_MS,
@@ -26,6 +32,7 @@ from rowharbor.streaming.landing import (
 )
 
 POSITION = ("pipeline_id", "lsn")
+TABLES_AT_ONCE = 4
 
 
 def prepare_lookup(
@@ -48,6 +55,33 @@ def copy_table(
     land(typed_snapshot(rows, lookup, oid, scope=scope), root, land_id)
 
 
+def copy_tables(
+    read: Callable[[str], DataFrame],
+    lookup: Lookup,
+    root: str,
+    name: str,
+    scope: Mapping[str, int | str] | None = None,
+    at_once: int = TABLES_AT_ONCE,
+) -> list[str]:
+    """Land the initial copy of every table of a catalog; ``read`` gives a table's
+    rows by its name. A table's landing is named after ``name`` and its id, so the
+    job done again replaces its landings. ``at_once`` tables are copied side by
+    side; when some fail, the others are still copied and the first error is raised.
+    Returns the ids. Only ids and names reach the driver."""
+    tables = lookup.df
+    for column, value in (scope or {}).items():
+        tables = tables.filter(F.col(column) == value)
+    found = sorted((r["oid"], r["table_name"]) for r in tables.select("oid", "table_name").collect())
+
+    def copy(oid: str, table_name: str) -> str:
+        copy_table(read(table_name), lookup, oid, root, f"{name}-{oid}", scope)
+        return oid
+
+    with ThreadPoolExecutor(at_once) as pool:
+        copies = [pool.submit(copy, *table) for table in found]
+    return [done.result() for done in copies]
+
+
 def land_log(
     log: DataFrame,
     lookup: Lookup,
@@ -70,12 +104,32 @@ def follow_log(
     once: bool = False,
     compact: bool = False,
     interval_ms: int = FLUSH_INTERVAL_MS,
+    rejects: str | None = None,
+    offsets: str | None = None,
 ) -> StreamingQuery:
     """Land a streaming change log. The envelopes are built per micro-batch, as a
-    batch job: it is planned adaptively, and a batch of few files is spread."""
+    batch job: it is planned adaptively, and a batch of few files is spread.
+
+    With ``rejects`` (a directory) the records that are not landed are kept there,
+    and with ``offsets`` (a table) the positions of what was landed are recorded,
+    from the same reading of the log: the micro-batch, which the flush limits
+    bound, is kept by the executors while it is written. A lost one is read again."""
 
     def write(batch: DataFrame, land_id: str) -> None:
-        land_log(spread(batch), lookup, root, land_id, scope, compact)
+        records = spread(batch)
+        if rejects is None and offsets is None:
+            land_log(records, lookup, root, land_id, scope, compact)
+            return
+        records = records.persist()
+        try:
+            land_log(records, lookup, root, land_id, scope, compact)
+            if rejects is not None:
+                keep_rejects(records, lookup, rejects, land_id, scope)
+            if offsets is not None:
+                landed = _envelopes(records, lookup, scope)
+                record_positions(batch.sparkSession, landed, offsets)
+        finally:
+            records.unpersist()
 
     checkpoint = f"{checkpoints}/{stream}"
     return start_writer(log, write, stream, checkpoint, once, interval_ms)
@@ -89,19 +143,45 @@ def follow_rejects(
     scope: Sequence[str] = (),
     once: bool = False,
 ) -> StreamingQuery:
-    """Keep the records of a log that are not landed."""
-    if "cells" in log.columns:
-        rejects = rejected_typed_changes(log, lookup, scope)
-        # Variants are kept as text, so that the bad records are easy to look at.
-        rejects = rejects.withColumn("cells", F.to_json("cells"))
-    else:
-        rejects = rejected_changes(log, lookup, scope)
-    return start_rejects(rejects, path, checkpoint, once)
+    """Keep the records of a log that are not landed, as a stream of its own, which
+    reads the log once more; ``follow_log`` can do it from its own reading."""
+    return start_rejects(_rejects(log, lookup, scope), path, checkpoint, once)
+
+
+def keep_rejects(
+    log: DataFrame,
+    lookup: Lookup,
+    path: str,
+    land_id: str,
+    scope: Sequence[str] = (),
+) -> None:
+    """Keep the records of a landing that are not landed, in a directory of the
+    landing's own by reason; done again, it replaces itself."""
+    (
+        _rejects(log, lookup, scope)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("reason")
+        .parquet(f"{path}/{LANDING_COLUMN}={land_id}")
+    )
 
 
 def record_positions(spark: SparkSession, landed: DataFrame, offsets: str) -> None:
-    """Put the highest landed LSN of every pipeline in the offsets table."""
-    update_offsets(spark, offsets, latest_positions(landed))
+    """Put the highest landed LSN of every pipeline in the offsets table. A position
+    never goes back: files of a log may arrive in another order than its records."""
+    create_offsets_table(spark, offsets)
+    new = latest_positions(landed)
+    known = current_offsets(spark, offsets).join(new.select("pipeline_id"), "pipeline_id", "left_semi")
+    both = new.union(known.select("pipeline_id", "last_lsn"))
+    update_offsets(spark, offsets, latest_positions(both.withColumnRenamed("last_lsn", "lsn")))
+
+
+def _rejects(log: DataFrame, lookup: Lookup, scope: Sequence[str]) -> DataFrame:
+    if "cells" not in log.columns:
+        return rejected_changes(log, lookup, scope)
+    # Variants are kept as text, so that the bad records are easy to look at.
+    rejects = rejected_typed_changes(log, lookup, scope)
+    return rejects.withColumn("cells", F.to_json("cells"))
 
 
 def _envelopes(log: DataFrame, lookup: Lookup, scope: Sequence[str]) -> DataFrame:

@@ -9,11 +9,19 @@ table they meet.
 
 from __future__ import annotations
 
+import re
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 TABLE_COLUMN = "cdc_table"
 LANDING_COLUMN = "land_id"
 MAX_RECORDS_PER_FILE = 5_000_000
+LANDED = (
+    "schema_database VARIANT, payload VARIANT, operation STRING, "
+    "created_at TIMESTAMP_NTZ, ts_ms LONG, pipeline_id INT, lsn STRING, "
+    f"{LANDING_COLUMN} STRING, {TABLE_COLUMN} STRING"
+)
 
 
 def change_rows(envelopes: DataFrame) -> DataFrame:
@@ -54,18 +62,21 @@ def land(envelopes: DataFrame, root: str, land_id: str, compact: bool = False) -
 
 def read_landed(spark: SparkSession, root: str) -> DataFrame:
     """Rows of all change tables; a filter on ``cdc_table`` prunes directories."""
-    return spark.read.schema(
-        "schema_database VARIANT, payload VARIANT, operation STRING, "
-        "created_at TIMESTAMP_NTZ, ts_ms LONG, pipeline_id INT, lsn STRING, "
-        f"{LANDING_COLUMN} STRING, {TABLE_COLUMN} STRING"
-    ).parquet(root)
+    return spark.read.schema(LANDED).parquet(root)
 
 
 def read_change_table(spark: SparkSession, root: str, table_name: str) -> DataFrame:
-    """Rows of one source table's change table."""
-    return read_landed(spark, root).filter(
-        F.col(TABLE_COLUMN) == F.concat(F.upper(F.lit(table_name)), F.lit("_CDC"))
-    )
+    """Rows of one source table's change table; none if nothing of it was landed. For
+    a plain name only the table's own directory is listed in every landing; a name
+    that directories spell otherwise is filtered, as in ``read_landed``."""
+    own = F.col(TABLE_COLUMN) == F.concat(F.upper(F.lit(table_name)), F.lit("_CDC"))
+    if re.fullmatch("[A-Za-z0-9_]+", table_name):
+        path = f"{root}/{LANDING_COLUMN}=*/{TABLE_COLUMN}={table_name.upper()}_CDC"
+        try:
+            return spark.read.schema(LANDED).option("basePath", root).parquet(path).filter(own)
+        except AnalysisException:  # no landing has the table
+            pass
+    return read_landed(spark, root).filter(own)
 
 
 def with_variant_schema(old: DataFrame) -> DataFrame:

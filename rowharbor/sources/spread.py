@@ -5,16 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 FEW = 4
+#: An input of more partitions is never moved, however many cores there are: at Spark's
+#: default partition size these hold 1 GB.
+MOST_MOVED = 8
 
 
 def spread(rows: DataFrame) -> DataFrame:
-    """Rows of an input that would be read by less than a quarter of the cores,
-    such as one small file, over all cores. Larger inputs have tasks enough and
-    are left where they are, without a shuffle; so are streams. For inputs as
-    they are read: counting the partitions of later steps could run them."""
+    """Rows of a small input (of at most ``MOST_MOVED`` partitions) that would be
+    read by less than a quarter of the cores, such as one file, over all cores.
+    Larger inputs are left where they are, without a shuffle; so are streams. For
+    inputs as they are read: counting the partitions of later steps could run them."""
     if rows.isStreaming:
         return rows
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() * FEW >= cores:
+    partitions = rows.rdd.getNumPartitions()
+    if partitions > MOST_MOVED or partitions * FEW >= cores:
         return rows
     return rows.repartition(cores)

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from rowharbor.__main__ import arguments, run
+from rowharbor.operators.offsets import resume_position
 from rowharbor.sinks.dataset import read_change_table
 
 
@@ -19,7 +20,10 @@ def test_land_follow_and_compare(spark, tmp_path):
     shared = ["--log", log, "--columns", columns, "--root", root]
     run(spark, arguments().parse_args(["land", *shared, "--name", "first"]))
     follow = ["follow", *shared, "--name", "main", "--checkpoints", state, "--once"]
-    run(spark, arguments().parse_args([*follow, "--max-files", "1", "--compact"]))
+    kept = ["--rejects", out + "/rejects", "--offsets", "default.main_positions"]
+    run(spark, arguments().parse_args([*follow, "--max-files", "1", "--compact", *kept]))
+    assert resume_position(spark, "main_positions", 1) == "0/5"
+    assert spark.read.schema("event_text string").parquet(out + "/rejects").count() == 0
     rows = read_change_table(spark, root, "users")
     ids = rows.select(F.variant_get("payload", "$.id", "int")).collect()
     assert sorted(r[0] for r in ids) == sorted([*range(6), *range(6)])

@@ -109,3 +109,27 @@ def test_spread_only_touches_small_inputs(spark):
     large = spark.range(0, 100, 1, 8)
     assert spread(small).rdd.getNumPartitions() == 8
     assert spread(large) is large
+
+
+def test_spread_leaves_inputs_of_many_partitions_on_any_cluster(spark):
+    class Cluster:
+        """A session of more cores than there are."""
+
+        def __init__(self, cores):
+            self.sparkContext = self
+            self.defaultParallelism = cores
+
+    class Input:
+        isStreaming = False
+
+        def __init__(self, partitions, cores):
+            self.sparkSession, self.rdd, self.n = Cluster(cores), self, partitions
+
+        def getNumPartitions(self):
+            return self.n
+
+        def repartition(self, cores):
+            return cores
+
+    large, small = Input(500, 4000), Input(1, 4000)
+    assert spread(large) is large and spread(small) == 4000
