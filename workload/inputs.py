@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowharbor.operators.catalog import table_lookup
 from rowharbor.operators.lookup import Lookup, measured
 from rowharbor.sources.spread import spread
+from rowharbor.streaming.landing import flush_limits
 
 PUBLICATION = "pub_o"
 ORDERS_OID = "20001"
 DOCUMENTS_OID = "20002"
+LOG_FILES = 3
 UPDATED_AT = "2024-06-01 00:00:00"
 
 # Tables the change text points at; 16388 is not mapped at all.
@@ -43,6 +45,15 @@ TABLES = [
     (DOCUMENTS_OID, "documents", DOCUMENT_COLUMNS),
 ]
 
+SCOPED_TABLES = [(1, "orders"), (2, "sales")]
+COPIED_TABLES = [
+    ("40001", "region", "r_regionkey"),
+    ("40002", "nation", "n_nationkey"),
+    ("40003", "customer", "c_custkey"),
+    ("40004", "orders", "o_orderkey"),
+    ("40005", "supplier", None),
+]
+
 # Fifty type names for the fifty part sizes.
 TYPE_NAMES = [
     "int2", "smallint", "int4", "integer", "serial", "int8", "bigint", "bigserial",
@@ -97,16 +108,37 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _column_list(pairs: list[tuple[str, str]] | None) -> str:
+    if pairs is None:
+        return "NULL"
+    structs = [f"named_struct('name', '{n}', 'pg_type', '{t}')" for n, t in pairs]
+    return f"array({', '.join(structs)})"
+
+
 def event_lookup(spark: SparkSession) -> Lookup:
     """What is known of the tables that the change text points at."""
+    rows = ", ".join(f"('{oid}', '{n}', {_column_list(c)})" for oid, n, c in TABLES)
+    tables = spark.sql(f"SELECT * FROM VALUES {rows} AS t(oid, table_name, columns)")
+    return measured(table_lookup(tables))
+
+
+def scoped_lookup(spark: SparkSession) -> Lookup:
+    """Two databases, each with a table of its own under the id of the orders."""
+    columns = _column_list(ORDER_COLUMNS)
+    rows = ", ".join(
+        f"({pipeline}, '{ORDERS_OID}', '{name}', {columns})"
+        for pipeline, name in SCOPED_TABLES
+    )
+    named = "t(pipeline_id, oid, table_name, columns)"
+    return measured(table_lookup(spark.sql(f"SELECT * FROM VALUES {rows} AS {named}")))
 
-    def columns(pairs: list[tuple[str, str]] | None) -> str:
-        if pairs is None:
-            return "NULL"
-        structs = [f"named_struct('name', '{n}', 'pg_type', '{t}')" for n, t in pairs]
-        return f"array({', '.join(structs)})"
 
-    rows = ", ".join(f"('{oid}', '{n}', {columns(c)})" for oid, n, c in TABLES)
+def copied_lookup(spark: SparkSession) -> Lookup:
+    """A catalog of given tables, one of them without columns."""
+    rows = ", ".join(
+        f"('{oid}', '{name}', {_column_list([(key, 'int8')] if key else None)})"
+        for oid, name, key in COPIED_TABLES
+    )
     tables = spark.sql(f"SELECT * FROM VALUES {rows} AS t(oid, table_name, columns)")
     return measured(table_lookup(tables))
 
@@ -133,6 +165,18 @@ def streamed_text_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def log_in_files(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The events as several files, so that a stream takes several batches."""
+    events = table(spark, sf_dir, "events")
+    events.repartitionByRange(LOG_FILES, "event_id").write.parquet(path)
+
+
+def text_log_of_files(spark: SparkSession, path: str) -> DataFrame:
+    schema = spark.read.parquet(path).schema
+    options = flush_limits(max_files=1)
+    return as_text_log(spark.readStream.schema(schema).options(**options).parquet(path))
+
+
 def typed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = "CASE WHEN event_id % 7 <> 0 THEN event_id % 2 = 0 END"
     return spread(table(spark, sf_dir, "events")).select(

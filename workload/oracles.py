@@ -186,6 +186,28 @@ TYPED_LOCATED = f"""typed AS (SELECT event_id, user_id, value, props, event_type
 located AS (SELECT * FROM typed JOIN tables USING (oid)
     WHERE op IS NOT NULL AND table_name <> 'unknown_table')"""
 
+REJECTED = f"""WITH {CHANGES}, {TABLES},
+judged AS (SELECT event_id, {_change_oid('event_text')} AS oid,
+    CASE WHEN {CONTROL} THEN 'control' WHEN {OP} IS NULL THEN 'no operation' END AS early
+    FROM changes),
+reasons AS (SELECT event_id, j.oid, coalesce(early,
+    CASE WHEN t.oid IS NULL THEN 'no table' END) AS reason FROM judged j
+    LEFT JOIN tables t ON t.oid = j.oid AND t.table_name <> 'unknown_table')
+SELECT * FROM reasons WHERE reason IS NOT NULL"""
+LOCATED_POSITIONS = """positions AS (SELECT pipeline_id, max(event_id) AS event_id
+    FROM located GROUP BY pipeline_id)"""
+SCOPED = " UNION ALL ".join(
+    f"""SELECT '{name.upper()}_CDC' AS cdc_table, {pipeline} AS pipeline_id,
+    '{name}' AS schema_name, o_orderkey,
+    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ordered_at FROM orders"""
+    for pipeline, name in inputs.SCOPED_TABLES
+)
+COPIED = " UNION ALL ".join(
+    f"""SELECT '{name.upper()}_CDC' AS cdc_table, 'c' AS operation,
+    CAST({key or 's_suppkey'} AS BIGINT) AS key FROM {name}"""
+    for _, name, key in inputs.COPIED_TABLES
+)
+
 ORACLES: dict[str, str] = {
     "change_counts": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
 SELECT table_name, op, count(*) AS changes FROM located GROUP BY ALL""",
@@ -201,14 +223,7 @@ FROM located""",
     "table_lookup_left": f"""WITH {TABLES}, {ORDER_ROWS}
 SELECT o_orderkey, raw_id, oid, table_name,
     CAST(coalesce(len(names), 0) AS INTEGER) AS n_columns FROM named""",
-    "rejected_changes": f"""WITH {CHANGES}, {TABLES},
-judged AS (SELECT event_id, {_change_oid('event_text')} AS oid,
-    CASE WHEN {CONTROL} THEN 'control' WHEN {OP} IS NULL THEN 'no operation' END AS early
-    FROM changes),
-reasons AS (SELECT event_id, j.oid, coalesce(early,
-    CASE WHEN t.oid IS NULL THEN 'no table' END) AS reason FROM judged j
-    LEFT JOIN tables t ON t.oid = j.oid AND t.table_name <> 'unknown_table')
-SELECT * FROM reasons WHERE reason IS NOT NULL""",
+    "rejected_changes": REJECTED,
     "catalog_columns": f"WITH {CATALOG} SELECT * FROM columns",
     "catalog_schema": f"""WITH {CATALOG}
 SELECT oid, min(relname) AS table_name, CAST(count(*) AS INTEGER) AS n_columns,
@@ -268,6 +283,18 @@ SELECT concat(upper(table_name), '_CDC') AS cdc_table, true AS in_bounds,
     "landed_table": f"""WITH {TABLES}, {TYPED_LOCATED}
 SELECT event_id, value, op AS operation, ts_ms, pipeline_id, lsn FROM located
 WHERE table_name = 'users'""",
+    "landed_catalog_tables": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation,
+    true AS is_timed, event_id AS payload_id FROM located""",
+    "scoped_snapshot": SCOPED,
+    "copied_tables": COPIED,
+    "followed_rows": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation, ts_ms,
+    pipeline_id, lsn, event_id AS payload_id FROM located""",
+    "followed_rejects": REJECTED,
+    "followed_positions": f"""WITH {CHANGES}, {TABLES}, {LOCATED}, {LOCATED_POSITIONS}
+SELECT p.pipeline_id, c.lsn AS last_lsn
+FROM positions p JOIN changes c ON c.event_id = p.event_id""",
     "config_scan": """SELECT CAST(s_suppkey AS INTEGER) AS id, s_name AS host,
     CAST(((CAST(floor(s_acctbal * 10) AS BIGINT) % 65536) + 65536) % 65536 AS INTEGER)
         AS port,

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import functools
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowharbor.functions import change_text as ct
 from rowharbor.functions.types import type_label
 from rowharbor.operators import catalog, changes, offsets, packing, settings, snapshot
-from rowharbor.plans.jobs import copy_table, follow_log, land_log
+from rowharbor.plans.jobs import copy_table, copy_tables, follow_log, land_log
 from rowharbor.work_dir import work_dir
 from rowharbor.sources.spread import spread
 from rowharbor.sinks.dataset import read_change_table, read_landed
+from rowharbor.sinks.tables import change_table_name, insert_all
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,6 +314,116 @@ def landed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def scoped_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Initial copies from two databases that use one id for tables of two names."""
+    orders = spread(inputs.table(spark, sf_dir, "orders"))
+    lookup = inputs.scoped_lookup(spark)
+    copies = [
+        snapshot.typed_snapshot(
+            orders, lookup, inputs.ORDERS_OID, scope={"pipeline_id": pipeline}
+        )
+        for pipeline, _ in inputs.SCOPED_TABLES
+    ]
+    return functools.reduce(DataFrame.unionByName, copies).select(
+        "cdc_table",
+        "pipeline_id",
+        F.variant_get("schema", "$.name", "string").alias("schema_name"),
+        F.variant_get("payload", "$.o_orderkey", "long").alias("o_orderkey"),
+        F.date_format(
+            F.variant_get("payload", "$.o_orderdate", "timestamp_ntz"),
+            "yyyy-MM-dd HH:mm:ss",
+        ).alias("ordered_at"),
+    )
+
+
+def copied_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keys of all tables of a catalog after their initial copies."""
+    root = work_dir(spark, "copied")
+    read = functools.partial(inputs.table, spark, sf_dir)
+    copy_tables(read, inputs.copied_lookup(spark), root, "first")
+    payload = F.col("payload")
+    # a table without columns is landed as text
+    text = F.parse_json(F.variant_get(payload, "$.data", "string"))
+    keys = [F.variant_get(payload, f"$.{k}", "long") for _, _, k in inputs.COPIED_TABLES if k]
+    return read_landed(spark, root).select(
+        "cdc_table",
+        "operation",
+        F.coalesce(*keys, F.variant_get(text, "$.s_suppkey", "long")).alias("key"),
+    )
+
+
+def landed_catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes in the catalog's change tables, each read back on its own."""
+    database = f"landed_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, database)}'")
+    insert_all(_text_envelopes(spark, sf_dir), None, "changes", database)
+    tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()]
+    names = [t.upper().removesuffix("_CDC") for t in tables]
+    rows = [
+        spark.table(change_table_name(name, database)).withColumn(
+            "cdc_table", F.lit(f"{name}_CDC")
+        )
+        for name in names
+    ]
+    return functools.reduce(DataFrame.unionByName, rows).select(
+        "cdc_table",
+        F.col("OPERATION").alias("operation"),
+        F.col("CREATED_AT").isNotNull().alias("is_timed"),
+        _payload_id("PAYLOAD").alias("payload_id"),
+    )
+
+
+def _payload_id(payload: str) -> Column:
+    return F.coalesce(
+        F.variant_get(payload, "$.event_id", "long"),
+        F.variant_get(payload, "$.col_0", "long"),
+    )
+
+
+def _followed(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """A log of several files followed in as many batches: where the change tables,
+    what was rejected and the positions are."""
+    log, root, rejects, state = (
+        work_dir(spark, f"followed-{name}") for name in ("log", "root", "rejects", "state")
+    )
+    database = f"followed_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, database)}'")
+    inputs.log_in_files(spark, sf_dir, log)
+    follow_log(
+        inputs.text_log_of_files(spark, log),
+        inputs.event_lookup(spark),
+        root,
+        "changes",
+        state,
+        once=True,
+        rejects=rejects,
+        offsets=f"{database}.positions",
+    ).awaitTermination()
+    return root, rejects, f"{database}.positions"
+
+
+def followed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _, _ = _followed(spark, sf_dir)
+    return read_landed(spark, root).select(
+        "cdc_table",
+        "operation",
+        "ts_ms",
+        "pipeline_id",
+        "lsn",
+        _payload_id("payload").alias("payload_id"),
+    )
+
+
+def followed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejects, _ = _followed(spark, sf_dir)
+    return spark.read.parquet(rejects).select("event_id", "oid", "reason")
+
+
+def followed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, positions = _followed(spark, sf_dir)
+    return offsets.current_offsets(spark, positions).select("pipeline_id", "last_lsn")
+
+
 def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settings.pipeline_settings(inputs.stored_settings(spark, sf_dir)).withColumn(
         "replication_id", F.col("replication_id").cast("string")
@@ -377,6 +490,12 @@ QUERIES: dict[str, Query] = {
         landed_counts,
         landed_stream,
         landed_table,
+        landed_catalog_tables,
+        scoped_snapshot,
+        copied_tables,
+        followed_rows,
+        followed_rejects,
+        followed_positions,
         config_scan,
         config_diff,
         config_removed,
