@@ -1,9 +1,9 @@
 """Licence statements: a trained paragraph classifier, confirmed by templates.
 
-Paragraphs (lines) with a cue of a licence are scored by a multinomial logistic
-regression over word n-grams (one to three words), one class for each licence family
-and one for anything else. Its vocabulary is that of the templates, so its weights
-are a small table; scoring is a join with it and a sum. A prediction counts if its
+Paragraphs are scored by a multinomial logistic regression over word n-grams (one to
+three words), one class for each licence family and one for anything else. Its
+vocabulary is that of the templates, so its weights are a small table; scoring is a
+join with it and a sum. A prediction counts if its
 probability reaches the cutoff that, on the held-out half of the examples, lets at
 most ``MAX_MISTAKEN`` of the paragraphs of the unknown class pass; the rest is
 ``unknown``. A prediction is confirmed if the paragraph holds enough of the words of
@@ -11,10 +11,17 @@ one of the family's templates.
 
 The classifier is fitted on parts of the templates and on a bounded sample of
 paragraphs without a cue (``sample_paragraphs``). Scoring covers every paragraph of
-every text.
+every text: each line by itself, and the joined lines of each block between blank
+lines, for notices that are wrapped. Only those are left out early whose summed
+positive weights cannot bring any family up to the unknown class (``_Bound``), and so
+to no cutoff, as none is below a half.
 
-Defined results: a null text or one without a cue has no licence (null family, score
-0, no paragraphs); of several statements the most probable one names the family, ties
+A statement is a block of a known family none of whose lines is confirmed or of
+another family by itself (its lines are then not counted), or else a line of a known
+family or, as ``unknown``, a line with one of the cues. Cues name nothing but these unknown statements.
+
+Defined results: a null text or one without a statement has no licence (null family,
+score 0, no paragraphs); of several statements the most probable one names the family, ties
 go to the name first in alphabetical order; repeated rows are answered alike; an
 empty table gives an empty table.
 """
@@ -23,8 +30,9 @@ from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from rowharbor.llm.quality import _let
 from rowharbor.llm.tables import settled
 
 # How works are put under a licence.
@@ -33,24 +41,39 @@ TEMPLATES = {
         "Licensed under the Apache License, Version 2.0.",
         'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.',
         "SPDX-License-Identifier: Apache-2.0",
+        "Apache-2.0",
         "This project is released under the Apache 2.0 license.",
     ),
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "BSD-3-Clause",
+        "BSD-2-Clause",
         "Released under the BSD License.",
     ),
     "CC": (
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
         "This work is licensed under CC BY-SA 4.0.",
+        "CC BY 4.0",
+        "CC-BY 4.0",
+        "CC-BY-4.0",
+        "CC-BY-SA 4.0",
+        "CC-BY-SA-4.0",
+        "CC-BY-NC 4.0",
+        "CC0",
+        "CC0 1.0 Universal",
         "Except where otherwise noted, content on this site is licensed under a Creative Commons license.",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "GPL-3.0-or-later",
+        "GPL-2.0-only",
+        "GPLv3",
+        "GPLv2",
         "Released under the GNU Lesser General Public License, version 2.1.",
     ),
     "MIT": (
@@ -58,10 +81,13 @@ TEMPLATES = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
         "SPDX-License-Identifier: MIT",
         "Licensed under the MIT license.",
+        "Distributed under the terms of the MIT license.",
     ),
     "MPL": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "MPL-2.0",
+        "MPL 2.0",
     ),
 }
 # Sentences with a cue that grant nothing.
@@ -77,10 +103,12 @@ OTHER = (
     "Licensed physicians may apply for the position.",
     "She released under pressure the terms of the agreement.",
 )
-CUES = ("licen", "copyright", "spdx", "general public", "creative commons", "cc by", "permission is hereby", "redistribution", "apache", "mozilla public")
+CUES = ("licen", "copyright", "spdx", "general public", "creative commons", "cc by", "permission is hereby", "redistribution", "apache", "mozilla public", "rights reserved", "public domain")
 UNKNOWN = "unknown"
 MAX_MISTAKEN = 0.01
 CONFIRMING_SHARE = 0.6
+BLANK_LINES = r"(?>\r\n|\r|\n)(?:[ \t]*(?>\r\n|\r|\n))+"
+LINE_END = r"\r\n|\r|\n"
 
 
 def _words(text: Column) -> Column:
@@ -127,11 +155,18 @@ def _examples(docs: DataFrame, text: str, sample_paragraphs: int) -> DataFrame:
     cut = words.select("*", F.explode(F.sequence(F.lit(0), F.least(F.floor(size / 6).cast("int"), F.lit(4)))).alias("head"))
     cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.least(F.floor(F.size("words") / 6).cast("int"), F.lit(4)))).alias("tail"))
     parts = cut.select("family", F.slice("words", F.col("head") + 1, size - F.col("head") - F.col("tail")).alias("words"))
-    lines = (
-        docs.where(F.pmod(F.xxhash64(text), F.lit(101)) == 7)
+    share = min(1_000_000, -(-1_000_000 * sample_paragraphs // max(docs.count(), 1)))
+    blocks = (
+        docs.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < share)
         .limit(sample_paragraphs)
-        .select(F.explode(F.split(text, "\n")).alias("line"))
-        .where(~_cued(F.col("line")) & (F.char_length("line") < 1000))
+        .select(F.explode(F.split(text, BLANK_LINES)).alias("block"))
+    )
+    # as they are scored: lines, and blocks of several of them
+    several = F.when(F.col("block").rlike(LINE_END), F.array("block")).otherwise(F.array().cast("array<string>"))
+    lines = (
+        blocks.select(F.explode(F.concat(F.split("block", LINE_END), several)).alias("line"))
+        .where(~_cued(F.col("line")) & (F.char_length("line") < 10_000))
+        .orderBy(F.xxhash64("line"))
         .limit(sample_paragraphs)
     )
     plain = lines.select(F.lit(UNKNOWN).alias("family"), _words(F.col("line")).alias("words"))
@@ -174,6 +209,46 @@ def fit(docs: DataFrame, *, text: str = "text", sample_paragraphs: int = 2000) -
     return classifier
 
 
+def _known_grams(words: Column, classifier: Classifier) -> Column:
+    """Those of ``_ngrams`` that have weights."""
+    singles = sorted({w for g in classifier.weights for w in g.split(" ")})
+    grams = sorted(classifier.weights)
+
+    def pairs(w: Column) -> Column:
+        return F.zip_with(w, F.slice(w, 2, F.greatest(F.size(w), F.lit(1))), lambda a, b: F.when(a.isin(singles) & b.isin(singles), F.concat(a, F.lit(" "), b)))
+
+    def with_triples(w: Column, two: Column) -> Column:
+        third = F.slice(w, 3, F.greatest(F.size(w), F.lit(1)))
+        three = F.zip_with(two, third, lambda a, b: F.when(a.isNotNull() & b.isin(singles), F.concat(a, F.lit(" "), b)))
+        return F.array_distinct(F.filter(F.concat(w, two, three), lambda g: g.isin(grams)))
+
+    return _let(words, lambda w: _let(pairs(w), lambda two: with_triples(w, two)))
+
+
+class _Bound:
+    """What no paragraph of known n-grams can exceed: for the family that gains most by
+    each n-gram, its weight over that of the unknown class, rounded up to a few steps."""
+
+    def __init__(self, classifier: Classifier, steps: int = 6):
+        at = classifier.families.index(UNKNOWN)
+        own = [k for k in range(len(classifier.families)) if k != at]
+        gains = {g: max(w[k] - w[at] for k in own) for g, w in classifier.weights.items()}
+        self.needed = min(classifier.intercepts[at] - classifier.intercepts[k] for k in own) - 1e-6
+        top = max(gains.values(), default=0.0)
+        self.steps = []
+        for n in range(steps):
+            high, low = top / 2**n, top / 2 ** (n + 1) if n < steps - 1 else 0.0
+            held = sorted(g for g, x in gains.items() if low < x <= high)
+            if held:
+                self.steps.append((high, held))
+
+    def reaches(self, grams: Column) -> Column:
+        total = F.lit(0.0)
+        for high, held in self.steps:
+            total = total + F.size(F.filter(grams, lambda g: g.isin(held))) * F.lit(high)
+        return total >= F.lit(self.needed)
+
+
 def _probabilities(rows: DataFrame, classifier: Classifier, keys: list[str]) -> DataFrame:
     """``keys``, the likeliest licence family and its probability."""
     spark = rows.sparkSession
@@ -199,32 +274,71 @@ def _probabilities(rows: DataFrame, classifier: Classifier, keys: list[str]) ->
     return scored.select(*keys, best["family"].alias("family"), (-best["p"]).alias("probability"))
 
 
+def _paragraphs(docs: DataFrame, classifier: Classifier, doc_id: str, text: str) -> DataFrame:
+    """doc_id, text_hash, block, line, joined, cued, grams of all lines and all blocks of
+    several lines that have a cue or may be of a family."""
+    bound = _Bound(classifier)
+    blocks = docs.select(
+        F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, BLANK_LINES)).alias("block", "body")
+    )
+    no_words = F.array().cast("array<string>")
+
+    def unit(line: Column, joined: Column, cued: Column, words: Column) -> Column:
+        return F.struct(line.alias("line"), joined.alias("joined"), cued.alias("cued"), words.alias("words"))
+
+    def with_block(units: Column) -> Column:
+        all_words = F.flatten(F.transform(units, lambda u: u["words"]))
+        whole = F.array(unit(F.size(units), F.lit(True), F.lit(False), all_words))
+        return F.concat(units, F.when(F.size(units) > 1, whole).otherwise(F.slice(whole, 1, 0)))
+
+    lines = F.transform(
+        F.split("body", LINE_END), lambda l, k: unit(k, F.lit(False), F.coalesce(_cued(l), F.lit(False)), F.coalesce(_words(l), no_words))
+    )
+    with_grams = F.transform(
+        _let(lines, with_block),
+        lambda u: F.struct(u["line"].alias("line"), u["joined"].alias("joined"), u["cued"].alias("cued"), _known_grams(u["words"], classifier).alias("grams")),
+    )
+    scored = F.filter(with_grams, lambda u: u["cued"] | bound.reaches(u["grams"]))
+    # not before they are scored: what is exploded is little
+    return (
+        blocks.select("doc_id", "text_hash", "block", F.explode(scored).alias("u"))
+        .select("doc_id", "text_hash", "block", "u.*")
+        .dropDuplicates(["doc_id", "text_hash", "block", "line"])
+    )
+
+
 def statements(docs: DataFrame, classifier: Classifier, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, text_hash, line, family, probability, confirmed of every paragraph
-    that holds a licence cue; the family is ``unknown`` below the cutoff."""
+    """doc_id, text_hash, block, line, family, probability, confirmed of every statement;
+    the family is ``unknown`` below the cutoff, the line is null for a whole block."""
     spark = docs.sparkSession
-    lines = (
-        docs.where(_cued(F.col(text)))
-        .select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.posexplode(F.split(text, "\n")).alias("line", "body"))
-        .where(_cued(F.col("body")))
-        .dropDuplicates(["doc_id", "text_hash", "line"])
-        .select("doc_id", "text_hash", "line", _words(F.col("body")).alias("words"))
-    )
-    rows = lines.withColumn("grams", _ngrams(F.col("words")))
-    keys = ["doc_id", "text_hash", "line", "words"]
-    found = _probabilities(rows, classifier, keys)
+    keys = ["doc_id", "text_hash", "block", "line", "joined", "cued", "grams"]
+    found = _probabilities(_paragraphs(docs, classifier, doc_id, text), classifier, keys)
     own = templates(spark).groupBy("family").agg(F.collect_list("template").alias("templates"))
     share = F.array_max(
-        F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("words"))) / F.size(t))
+        F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("grams"))) / F.size(t))
     )
-    return found.join(F.broadcast(own), "family", "left").select(  # one row a family
+    known = F.col("probability") >= classifier.cutoff
+    judged = found.where(known | F.col("cued")).join(F.broadcast(own), "family", "left").select(  # one row a family
         "doc_id",
         "text_hash",
+        "block",
         "line",
-        F.when(F.col("probability") >= classifier.cutoff, F.col("family")).otherwise(F.lit(UNKNOWN)).alias("family"),
+        "joined",
+        known.alias("known"),
+        F.when(known, F.col("family")).otherwise(F.lit(UNKNOWN)).alias("family"),
         "probability",
         (F.coalesce(share, F.lit(0.0)) >= CONFIRMING_SHARE).alias("confirmed"),
     )
+    block = Window.partitionBy("doc_id", "text_hash", "block")  # statements of one block of one text
+    by_line = F.max(F.col("known") & F.col("confirmed") & ~F.col("joined")).over(block)
+    line_families = F.collect_set(F.when(F.col("known") & ~F.col("joined"), F.col("family"))).over(block)
+    block_family = F.max(F.when(F.col("known") & F.col("joined"), F.col("family"))).over(block)
+    same = F.size(F.array_except("line_families", F.array("block_family"))) == 0
+    return (
+        judged.withColumns({"by_line": by_line, "line_families": line_families, "block_family": block_family})
+        .where(F.col("joined") == (~F.col("by_line") & F.col("block_family").isNotNull() & same))
+        .select("doc_id", "text_hash", "block", F.when(~F.col("joined"), F.col("line")).alias("line"), "family", "probability", "confirmed")
+    )
 
 
 def scanned(docs: DataFrame, classifier: Classifier, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
