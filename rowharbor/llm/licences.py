@@ -4,10 +4,13 @@ Paragraphs are scored by a multinomial logistic regression over word n-grams (on
 three words), one class for each licence family and one for anything else. Its
 vocabulary is that of the templates, so its weights are a small table; scoring is a
 join with it and a sum. A prediction counts if its
-probability reaches the cutoff that, on the held-out half of the examples, lets at
-most ``MAX_MISTAKEN`` of the paragraphs of the unknown class pass; the rest is
-``unknown``. A prediction is confirmed if the paragraph holds enough of the words of
-one of the family's templates.
+probability reaches the cutoff; the rest is ``unknown``. The cutoff is set on the half
+of the unknown class that the classifier is not fitted on (all parts of a text fall
+into the same half): it lets at most ``MAX_MISTAKEN`` pass of its ordinary paragraphs,
+and at most as many of its sentences with a cue that grant nothing, each by itself. A
+prediction is confirmed if the paragraph holds enough of the word pairs, in order, of
+one of the family's templates, the word that names the family included (a template
+without such a word, like the opening of the MIT text, by its pairs alone).
 
 The classifier is fitted on parts of the templates and on a bounded sample of
 paragraphs without a cue (``sample_paragraphs``). Scoring covers every paragraph of
@@ -102,7 +105,38 @@ OTHER = (
     "Redistribution of wealth was the topic of the debate.",
     "Licensed physicians may apply for the position.",
     "She released under pressure the terms of the agreement.",
+    "The terms of the license were discussed under the old law.",
+    "Under the terms of the treaty the license was void.",
+    "Copyright law protects the author of a work.",
+    "This work is protected by copyright.",
+    "His licence was suspended for two years.",
+    "Please see the license for more details.",
+    "The bar lost its liquor license last week.",
+    "The Apache helicopter was sold to the army.",
+    "The redistribution of land in the state was slow.",
+    "You may not copy this file without the permission of the owner.",
+    "No part of this publication may be used without permission; copyright by the publisher.",
+    "Software licensing is a large business in this state.",
+    "The company was licensed to use the source of the river.",
+    "The program is licensed by the city under the new act.",
+    "A license is required to use this site.",
+    "All content on this site is copyright of the owner and may not be used.",
+    "The general public is not permitted to use the file.",
+    "The license fee is due under the conditions of the contract.",
+    "Licensed and insured; call us free of charge.",
+    "The photo is in the public domain.",
+    "The doctor is licensed in the state of Massachusetts.",
+    "Commercial license only; you may not modify or use this software.",
 )
+#: What names a family, as a word of its text.
+NAMES = {
+    "Apache": r"apache.*",
+    "BSD": r"bsd.*",
+    "CC": r"(cc0?|cc-by.*|creative)",
+    "GPL": r"[al]?gpl.*|gnu",
+    "MIT": r"mit",
+    "MPL": r"mpl.*|mozilla",
+}
 CUES = ("licen", "copyright", "spdx", "general public", "creative commons", "cc by", "permission is hereby", "redistribution", "apache", "mozilla public", "rights reserved", "public domain")
 UNKNOWN = "unknown"
 MAX_MISTAKEN = 0.01
@@ -140,21 +174,37 @@ def _literal_rows(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame
     return spark.range(1, numPartitions=1).select(F.explode(F.array(*structs)).alias("r")).select("r.*")
 
 
+def _pairs(words: Column) -> Column:
+    """Distinct runs of two words; of a single word, itself."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(words) - 1, F.lit(1)))
+    return F.array_distinct(F.transform(starts, lambda i: F.array_join(F.slice(words, i, 2), " ")))
+
+
 def templates(spark: SparkSession) -> DataFrame:
+    """family, pairs, names: the template's pairs of words, its words that name the family."""
     rows = _literal_rows(spark, [(f, t) for f, own in TEMPLATES.items() for t in own])
-    return rows.select("family", F.array_distinct(_words(F.col("text"))).alias("template"))
+    named = F.lit(None).cast("string")
+    for family, pattern in NAMES.items():
+        named = F.when(F.col("family") == family, F.lit(f"^(?:{pattern})$")).otherwise(named)
+    words = rows.select("family", _words(F.col("text")).alias("words"), named.alias("named"))
+    names = F.array_distinct(F.filter("words", lambda w: F.rlike(w, F.col("named"))))
+    return words.select("family", _pairs(F.col("words")).alias("pairs"), names.alias("names"))
 
 
 def _examples(docs: DataFrame, text: str, sample_paragraphs: int) -> DataFrame:
-    """(family, grams): parts of templates, sentences that grant nothing, paragraphs."""
+    """family, grams, kind, held_out: parts of templates, sentences that grant nothing,
+    paragraphs. A half of the texts of the latter two is held out."""
     spark = docs.sparkSession
     given = _literal_rows(spark, [(f, t) for f, own in TEMPLATES.items() for t in own] + [(UNKNOWN, t) for t in OTHER])
-    words = given.select("family", _words(F.col("text")).alias("words"))
+    other = F.col("family") == UNKNOWN
+    half = F.pmod(F.xxhash64("words"), F.lit(2)) == 1
+    words = given.select("family", _words(F.col("text")).alias("words"), F.when(other, "cued").otherwise("template").alias("kind"))
+    words = words.withColumn("held_out", other & half)
     size = F.size("words")
     # all parts that keep at least two thirds of the words, at most 25 of a text
     cut = words.select("*", F.explode(F.sequence(F.lit(0), F.least(F.floor(size / 6).cast("int"), F.lit(4)))).alias("head"))
     cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.least(F.floor(F.size("words") / 6).cast("int"), F.lit(4)))).alias("tail"))
-    parts = cut.select("family", F.slice("words", F.col("head") + 1, size - F.col("head") - F.col("tail")).alias("words"))
+    parts = cut.select("family", "kind", "held_out", F.slice("words", F.col("head") + 1, size - F.col("head") - F.col("tail")).alias("words"))
     share = min(1_000_000, -(-1_000_000 * sample_paragraphs // max(docs.count(), 1)))
     blocks = (
         docs.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < share)
@@ -169,8 +219,9 @@ def _examples(docs: DataFrame, text: str, sample_paragraphs: int) -> DataFrame:
         .orderBy(F.xxhash64("line"))
         .limit(sample_paragraphs)
     )
-    plain = lines.select(F.lit(UNKNOWN).alias("family"), _words(F.col("line")).alias("words"))
-    return parts.union(plain).select("family", _ngrams(F.col("words")).alias("grams"))
+    plain = lines.select(F.lit(UNKNOWN).alias("family"), F.lit("ordinary").alias("kind"), _words(F.col("line")).alias("words"))
+    plain = plain.withColumn("held_out", half)
+    return parts.unionByName(plain).select("family", "kind", "held_out", _ngrams(F.col("words")).alias("grams"))
 
 
 class Classifier:
@@ -186,7 +237,6 @@ class Classifier:
 
 def fit(docs: DataFrame, *, text: str = "text", sample_paragraphs: int = 2000) -> Classifier:
     examples = settled(_examples(docs, text, sample_paragraphs).coalesce(1))
-    held_out = F.pmod(F.xxhash64("grams"), F.lit(2)) == 1
     families = [*sorted(TEMPLATES), UNKNOWN]
     label = F.array_position(F.array(*[F.lit(f) for f in families]), F.col("family")) - 1
     # the vocabulary is what the templates say, whatever the corpus holds
@@ -194,18 +244,15 @@ def fit(docs: DataFrame, *, text: str = "text", sample_paragraphs: int = 2000) -
         examples.where(F.col("family") != UNKNOWN)
     )
     counted = vectors.transform(examples.withColumn("label", label.cast("double")))
-    model = LogisticRegression(family="multinomial", regParam=0.002, maxIter=40).fit(counted)
+    model = LogisticRegression(family="multinomial", regParam=0.002, maxIter=40).fit(counted.where(~F.col("held_out")))
     words = vectors.vocabulary
     matrix = model.coefficientMatrix.toArray()
     weights = {w: [float(matrix[f, k]) for f in range(len(families))] for k, w in enumerate(words)}
     classifier = Classifier(weights, [float(x) for x in model.interceptVector], families, 0.0)
-    mistaken = _probabilities(
-        examples.where(held_out & (F.col("family") == UNKNOWN)).select(F.monotonically_increasing_id().alias("id"), "grams"),
-        classifier,
-        ["id"],
-    )
-    worst = mistaken.select(F.percentile("probability", F.lit(1 - MAX_MISTAKEN))).first()[0]
-    classifier.cutoff = max(0.5, worst or 0.0)
+    held_out = examples.where("held_out").select(F.monotonically_increasing_id().alias("id"), "kind", "grams")
+    worst = F.percentile("probability", F.lit(1 - MAX_MISTAKEN)).alias("worst")
+    per_kind = _probabilities(held_out, classifier, ["id", "kind"]).groupBy("kind").agg(worst)
+    classifier.cutoff = max(0.5, per_kind.agg(F.max("worst")).first()[0] or 0.0)
     return classifier
 
 
@@ -313,10 +360,13 @@ def statements(docs: DataFrame, classifier: Classifier, *, doc_id: str = "doc_id
     spark = docs.sparkSession
     keys = ["doc_id", "text_hash", "block", "line", "joined", "cued", "grams"]
     found = _probabilities(_paragraphs(docs, classifier, doc_id, text), classifier, keys)
-    own = templates(spark).groupBy("family").agg(F.collect_list("template").alias("templates"))
-    share = F.array_max(
-        F.transform("templates", lambda t: F.size(F.array_intersect(t, F.col("grams"))) / F.size(t))
-    )
+    own = templates(spark).groupBy("family").agg(F.collect_list(F.struct("pairs", "names")).alias("templates"))
+
+    def held(t: Column) -> Column:
+        named = (F.size(t["names"]) == 0) | F.arrays_overlap(t["names"], F.col("grams"))
+        return F.when(named, F.size(F.array_intersect(t["pairs"], F.col("grams"))) / F.size(t["pairs"])).otherwise(F.lit(0.0))
+
+    share = F.array_max(F.transform("templates", held))
     known = F.col("probability") >= classifier.cutoff
     judged = found.where(known | F.col("cued")).join(F.broadcast(own), "family", "left").select(  # one row a family
         "doc_id",

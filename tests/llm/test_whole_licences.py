@@ -48,3 +48,28 @@ def test_no_paragraph_over_the_cutoff_is_left_out_early(spark, model):
     found = licences._probabilities(rows, model, ["id", "grams"])
     assert found.where((F.col("probability") >= model.cutoff) & ~bound.reaches(F.col("grams"))).count() == 0
     assert found.where(~bound.reaches(F.col("grams"))).count() > 0
+
+
+def test_confirmation_needs_the_order_and_the_name(spark):
+    own = {r.family: [] for r in licences.templates(spark).collect()}
+    for r in licences.templates(spark).collect():
+        own[r.family].append(r)
+    pairs = [set(r.pairs) for r in own["MIT"]]
+    assert {"released under", "under the", "the mit", "mit license"} in pairs
+    assert all(r.names for r in own["Apache"]) and any(r.names == ["mit"] for r in own["MIT"])
+    sure = licences.Classifier({g: [0.0, 0.0, 0.0, 0.0, 50.0, 0.0, 0.0] for g in ("mit", "license", "under", "the", "released", "under the")}, [0.0] * 7, [*sorted(licences.TEMPLATES), licences.UNKNOWN], 0.5)
+    sure.weights |= {g: [0.0] * 7 for g in ("released under", "the mit", "mit license")}
+    got = scan(spark, sure, ["Under license, the released fish", "the license under MIT released", "Released under the MIT License."])
+    assert [(r.family, r.confirmed) for r in got] == [("MIT", False), ("MIT", False), ("MIT", True)]
+
+
+def test_the_cutoff_is_set_on_examples_that_are_not_fitted(spark, model):
+    docs = spark.createDataFrame([(i, f"the man of the town {i}") for i in range(200)], DOCS)
+    examples = licences._examples(docs, "text", 2000)
+    assert {(r.kind, r.held_out) for r in examples.select("kind", "held_out").distinct().collect()} == {
+        ("template", False), ("cued", True), ("cued", False), ("ordinary", True), ("ordinary", False)
+    }
+    held = examples.where("held_out and kind = 'cued'").select(F.monotonically_increasing_id().alias("id"), "grams")
+    found = licences._probabilities(held, model, ["id"])
+    n = found.count()
+    assert n > 20 and found.where(F.col("probability") > model.cutoff).count() <= 1 + licences.MAX_MISTAKEN * n
