@@ -1,7 +1,7 @@
 """A bidirectional LSTM in numpy that tells main text from the rest of a page.
 
 It reads a page's blocks as one sequence; a block is the bag of its tag path (tags,
-words of class and id) and of its hashed words, with a few measures. Two LSTMs read
+words of class and id) and of all its hashed words, with a few measures. Two LSTMs read
 the page from either end, so every block is judged by the whole page.
 
 It is trained here: on pages laid out by ``drawn_page``, whose labels are known, with
@@ -48,9 +48,9 @@ def features(blocks: list[Block]) -> np.ndarray:
     out = np.zeros((len(blocks), INPUTS), np.float32)
     for k, b in enumerate(blocks):
         out[k, _path_slots(b.path)] = 1
-        words = b.text.split(" ", 40)[:40]
-        for w in words[:40]:
-            out[k, PATH_SLOTS + zlib.crc32(w.lower().encode()) % WORD_SLOTS] += 0.5 / len(words)
+        words = b.text.lower().encode().split(b" ")
+        slots = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % WORD_SLOTS
+        out[k, PATH_SLOTS : PATH_SLOTS + WORD_SLOTS] = np.bincount(slots, minlength=WORD_SLOTS) * (0.5 / len(words))
         n = len(b.text)
         out[k, PATH_SLOTS + WORD_SLOTS :] = (
             math.log1p(n) / 8,
