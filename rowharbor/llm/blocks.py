@@ -6,14 +6,23 @@ import re
 from dataclasses import dataclass
 from html.parser import HTMLParser
 
-# Tags without content, tags whose text is never page text, and tags
-# that stand inside a line of text.
+# Tags without content, tags whose text is never page text (annotations are
+# the source of a formula, beside it), and tags that stand inside a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("head title script style template noscript iframe object svg math".split())
+SILENT = frozenset("head title script style template iframe annotation annotation-xml".split())
 INLINE = frozenset(
-    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt "
-    "ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark math q rp rt "
+    "ruby s samp small span strike strong sub sup time tt u var wbr area base col embed img input link meta param source track".split()
 )
+# Start tags that close an open <p>, tags that keep it from them, and what can
+# stand in a head.
+CLOSES_P = frozenset(
+    "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
+    "h1 h2 h3 h4 h5 h6 header hgroup hr li listing main menu nav ol p plaintext pre search section summary table ul xmp "
+    "td th tr tbody thead tfoot caption".split()
+)
+KEEPS_P = frozenset("applet button caption marquee object table td template th svg math".split())
+IN_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "td": {"td", "th"}, "th": {"td", "th"}, "tr": {"tr", "td", "th"}, "option": {"option"}}
 _NAME = re.compile(r"[a-z]+")
 
@@ -48,12 +57,18 @@ class _Reader(HTMLParser):
             self.silent -= tag in SILENT
         del self.tags[to:], self.marks[to:]
 
+    def end_head(self) -> None:
+        if "head" in self.tags and "template" not in self.tags:
+            self.pop(self.tags.index("head"))
+
     def handle_starttag(self, tag, attrs):
-        if tag not in INLINE:
+        if tag not in IN_HEAD:
+            self.end_head()
+        if tag not in INLINE and "math" not in self.tags:
             self.end_block()
-            if "p" in self.tags:
+            if tag in CLOSES_P and "p" in self.tags:
                 at = len(self.tags) - 1 - self.tags[::-1].index("p")
-                if all(t in INLINE for t in self.tags[at + 1 :]):
+                if KEEPS_P.isdisjoint(self.tags[at + 1 :]):
                     self.pop(at)
             closed = CLOSES.get(tag)
             if closed and self.tags:
@@ -81,12 +96,14 @@ class _Reader(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag not in INLINE:
+        if tag not in INLINE and "math" not in self.tags:
             self.end_block()
         if tag in self.tags:
             self.pop(len(self.tags) - 1 - self.tags[::-1].index(tag))
 
     def handle_data(self, data):
+        if self.tags and self.tags[-1] in ("head", "noscript") and data.strip():
+            self.end_head()
         if self.silent:
             return
         if not self.pieces:

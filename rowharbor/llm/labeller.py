@@ -98,6 +98,7 @@ def drawn_page(rng: np.random.Generator, words: list[str]) -> str:
             inner = str(rng.choice(["p", "div", "span", "h2", "h3/a", ""]))
             body = _tag(inner, some(2, 30)) if inner else some(2, 30)
             body += f"<p>{some(5, 40)}</p>" if rng.random() < 0.3 else ""
+            body += f'<p class="ad">{some(1, 8)}<br>{some(1, 8)}</p>' if kind == "advert" and rng.random() < 0.2 else ""
         return _tag(name, body)
 
     main = [f"<h1>{some(3, 12, chr(1))}</h1>"]
@@ -105,7 +106,13 @@ def drawn_page(rng: np.random.Generator, words: list[str]) -> str:
         main[0] = f"<header>{main[0]}</header>"
     for _ in range(rng.integers(1, 12)):
         kind = rng.random()
-        if kind < 0.7:
+        if kind < 0.08:
+            inner = str(rng.choice(["<br>", "<math><mi>x</mi><mo>=</mo><mn>1</mn></math>", '<img src="x">', "<svg></svg>"]))
+            mark = "" if inner[1] in "mi" else chr(1)
+            main.append(f"<p>{some(1, 60, chr(1))} {inner}{some(1, 40, mark)}</p>")
+        elif kind < 0.1:
+            main.append(_tag(str(rng.choice(["noscript/p", "object/p", "noscript", "object"])), some(3, 60, chr(1))))
+        elif kind < 0.7:
             main.append(f"<p>{some(1, 90, chr(1))}</p>")
         elif kind < 0.78:
             main.append(_tag(str(rng.choice(["h2", "h3"])), some(1, 8, chr(1))))
@@ -121,7 +128,8 @@ def drawn_page(rng: np.random.Generator, words: list[str]) -> str:
     article = _tag(str(rng.choice(ARTICLES.split())), "".join(main))
     before = [part(str(k)) for k in rng.choice(["menu", "header", "notice", "advert", "form"], rng.integers(0, 4))]
     after = [part(str(k)) for k in rng.choice(["comments", "footer", "sidebar", "advert", "notice", "menu", "form"], rng.integers(0, 4))]
-    return f"<html><head><title>{some(1, 6)}</title></head><body>{''.join(before)}{article}{''.join(after)}</body></html>"
+    opened = "</head><body>" if rng.random() < 0.9 else ""
+    return f"<html><head><title>{some(1, 6)}</title>{opened}{''.join(before)}{article}{''.join(after)}</body></html>"
 
 
 _NOT_MAIN = {"nav", "aside", "footer", "form", "button", "select", ".ad", ".ads", ".comments", ".comment"}
