@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowharbor.llm import contamination as decontamination
-from rowharbor.llm import extraction, language, licences, mixing, quality, repeats, sharding, similarity, warc
+from rowharbor.llm import extraction, language, licences, mixing, packing, quality, repeats, sharding, similarity, warc
 from rowharbor.llm.tables import table
 from rowharbor.work_dir import work_dir
 
@@ -75,7 +75,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # imported here: only this query needs the vocabulary files
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed(table(spark, sf_dir, "documents"), tokenizer, with_ids=False)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_repeats, op2_mix, op3_language, op4_licences, op5_shards, op6_contamination, op7_html_text, op8_warc, op9_jaccard_join, op10_quality)
+    for f in (
+        op1_repeats, op2_mix, op3_language, op4_licences, op5_shards, op6_contamination, op7_html_text, op8_warc,
+        op9_jaccard_join, op10_quality, op11_packing,
+    )
 }
