@@ -1,5 +1,59 @@
 """SQL that gives the rows of the queries which SQL can express."""
 
+from __future__ import annotations
+
+_WHOLE = """
+        whole AS MATERIALIZED (
+            SELECT vec_id, label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+def _codes(rounds: int) -> str:
+    """SQL of ``op13_vector_codes``: every part against every entry, round by round."""
+    distance = " + ".join(f"(p.x[{i}] - b.x[{i}]) * (p.x[{i}] - b.x[{i}])" for i in range(1, 5))
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+        held{r} AS MATERIALIZED (
+            SELECT p.vec_id, p.part, min(({distance}) * 64 + b.entry) AS best
+            FROM parts p JOIN book{r} b ON p.part = b.part GROUP BY p.vec_id, p.part)""")
+        if r < rounds:
+            mean = ", ".join(f"CAST(floor(sum(p.x[{i}]) / count(*)) AS BIGINT)" for i in range(1, 5))
+            steps.append(f"""
+        moved{r} AS (
+            SELECT p.part, h.best % 64 AS entry, [{mean}] AS x
+            FROM parts p JOIN held{r} h ON p.vec_id = h.vec_id AND p.part = h.part GROUP BY 1, 2),
+        book{r + 1} AS MATERIALIZED (
+            SELECT b.part, b.entry, coalesce(m.x, b.x) AS x
+            FROM book{r} b LEFT JOIN moved{r} m ON b.part = m.part AND b.entry = m.entry)""")
+    return f"""
+        WITH {_WHOLE},
+        parts AS MATERIALIZED (
+            SELECT vec_id, g.part, v[4 * g.part + 1 : 4 * g.part + 4] AS x
+            FROM whole, (SELECT unnest(range(16)) AS part) g),
+        first_ids AS (
+            SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry
+            FROM whole ORDER BY vec_id LIMIT 64),
+        book0 AS MATERIALIZED (
+            SELECT p.part, f.entry, p.x FROM parts p JOIN first_ids f ON p.vec_id = f.vec_id),
+        {",".join(steps)},
+        sums AS (
+            SELECT vec_id, string_agg(printf('%02x', best % 64), '' ORDER BY part) AS code,
+                   CAST(sum(best // 64) AS BIGINT) AS error
+            FROM held{rounds} GROUP BY vec_id),
+        books AS (
+            SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256
+            FROM book{rounds})
+        SELECT s.vec_id, s.code, s.error,
+               CAST(sum(s.error) OVER (PARTITION BY w.label) AS BIGINT) AS label_error,
+               books.codebooks_sha256
+        FROM sums s JOIN whole w ON s.vec_id = w.vec_id, books
+    """
+
+
 ORACLES: dict[str, str] = {
     "op8_warc": """
         WITH p AS (
@@ -13,4 +67,5 @@ ORACLES: dict[str, str] = {
                CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
         FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
     """,
+    "op13_vector_codes": _codes(rounds=2),
 }
