@@ -68,4 +68,24 @@ ORACLES: dict[str, str] = {
         FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
     """,
     "op13_vector_codes": _codes(rounds=2),
+    "op12_hard_negatives": f"""
+        WITH {_WHOLE},
+        kept AS MATERIALIZED (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, v
+            FROM whole WHERE label IS NOT NULL),
+        scored AS MATERIALIZED (
+            SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike,
+                   CAST(list_inner_product(CAST(a.v AS DOUBLE[]), CAST(b.v AS DOUBLE[])) AS BIGINT) AS score
+            FROM kept a JOIN kept b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+        positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT p.anchor_id, p.positive_id,
+               row_number() OVER (
+                   PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank,
+               n.vec_id AS negative_id, p.positive_score, n.score AS negative_score
+        FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.alike
+        WHERE 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+        QUALIFY rank <= 3
+    """,
 }

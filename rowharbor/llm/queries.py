@@ -5,7 +5,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowharbor.llm import contamination as decontamination
-from rowharbor.llm import codes, extraction, language, licences, mixing, packing, quality, repeats, sharding, similarity, warc
+from rowharbor.llm import (
+    codes,
+    extraction,
+    language,
+    licences,
+    mixing,
+    negatives,
+    packing,
+    quality,
+    repeats,
+    sharding,
+    similarity,
+    warc,
+)
 from rowharbor.llm.tables import table
 from rowharbor.work_dir import work_dir
 
@@ -83,6 +96,12 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer, with_ids=False)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return negatives.mined(vectors, anchor=F.col("vec_id") % 50 == 0)
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = codes.compressed(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
@@ -92,6 +111,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_repeats, op2_mix, op3_language, op4_licences, op5_shards, op6_contamination, op7_html_text, op8_warc,
-        op9_jaccard_join, op10_quality, op11_packing, op13_vector_codes,
+        op9_jaccard_join, op10_quality, op11_packing, op12_hard_negatives, op13_vector_codes,
     )
 }
