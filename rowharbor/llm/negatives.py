@@ -264,7 +264,7 @@ def mined(
         places, ids, labels = _columns(rows, "place", "vec_id", "label")
         s = scores(_matrix(own, "ints", width), _matrix(rows, "ints", width))
         floor = own.column("floor").combine_chunks().fill_null(-NO_ID).to_numpy()
-        alike = (own_labels[:, None] == labels) & (keys[:, None] != block * BLOCK + places) & (s >= floor[:, None])
+        alike = (own_labels[:, None] == labels) & (keys[:, None] != block * BLOCK + places.astype(np.int64)) & (s >= floor[:, None])
         r, c = best(s, alike, ids, POSITIVES)
         return pa.table({"anchor_key": keys[r], "score": s[r, c], "vec_id": ids[c]})
 
