@@ -64,7 +64,7 @@ def arguments() -> argparse.ArgumentParser:
             job.add_argument("--max-files", type=int)
             job.add_argument("--max-bytes", type=int)
             job.add_argument("--once", action="store_true")
-            job.add_argument("--rejects", help="directory for what is not landed")
+            job.add_argument("--rejects", action="store_true", help="keep what is not landed")
             job.add_argument("--offsets", help="table of positions to keep")
 
     actions = jobs.add_parser("actions", help="compare two versions of the settings")

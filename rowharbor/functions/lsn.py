@@ -6,6 +6,7 @@ from pyspark.sql import Column, functions as F
 
 # Fixed value: what one step of the part before the slash counts.
 HIGH_STEP = 4294967296
+LSN_CHARACTERS = "0123456789ABCDEF/abcdef"
 LSN_TEXT = r"\A([0-9A-Fa-f]{1,8}/[0-9A-Fa-f]{1,8}|[0-9]+)\z"
 
 
@@ -36,14 +37,30 @@ def lsn_digits(lsn: Column) -> tuple[Column, Column]:
     )
 
 
-def lsn_text(number: Column, high_digits: Column, low_digits: Column) -> Column:
-    """Text of an LSN, in upper case as the source writes it."""
+def lsn_small_letters(lsn: Column) -> Column:
+    """Which characters are small letters, as a number of one bit each, the last
+    character lowest."""
+    bits = F.translate(F.when(lsn.rlike(LSN_TEXT), lsn), LSN_CHARACTERS, "0" * 17 + "1" * 6)
+    return F.coalesce(F.conv(bits, 2, 10).cast("long"), F.lit(0).cast("long"))
+
+
+def lsn_text(number: Column, high_digits: Column, low_digits: Column, small: Column) -> Column:
+    """Text of an LSN as it was given: its number, digits and small letters."""
     high = F.hex(F.floor(number / F.lit(HIGH_STEP)).cast("long"))
     low = F.hex((number % F.lit(HIGH_STEP)).cast("long"))
     zero = F.lit("0")
-    return F.when(
+    text = F.when(
         low_digits > 0,
         F.concat(
             F.lpad(high, high_digits, zero), F.lit("/"), F.lpad(low, low_digits, zero)
         ),
     ).otherwise(F.lpad(number.cast("string"), high_digits, zero))
+    size = F.length(text)
+
+    def character(i: Column) -> Column:
+        own = F.substring(text, i, F.lit(1))
+        is_small = F.call_function("shiftright", small, (size - i).cast("int")).bitwiseAND(F.lit(1)) == 1
+        return F.when(is_small, F.lower(own)).otherwise(own)
+
+    lowered = F.array_join(F.transform(F.sequence(F.lit(1), size), character), "")
+    return F.when(small == 0, text).otherwise(lowered)

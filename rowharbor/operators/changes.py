@@ -22,6 +22,7 @@ from rowharbor.functions.envelope import (
 )
 from rowharbor.operators.lookup import BROADCAST_LIMIT_BYTES, Lookup, attach
 from rowharbor.operators.payload import with_payload
+from rowharbor.sinks.dataset import REJECTED
 
 # A table of this name is never landed; operations of typed kinds.
 UNKNOWN_TABLE = "unknown_table"
@@ -180,20 +181,110 @@ def _rejected(
     )
 
 
-def rejected_changes(
+def _routed(checked: DataFrame, decoded, without_cells: Column, keep: Sequence[str], record: Sequence[str]) -> DataFrame:
+    """Envelopes of the records without a reason; of the others the record itself, under
+    the table ``rejected``. One reading gives both, and nothing of a rejected record is
+    parsed."""
+    landed = F.col("reason").isNull()
+    rows = with_payload(decoded(checked), without_cells)
+    table, schema, payload, op, *rest = _envelope(keep)
+    record_of = F.to_variant_object(F.struct(*record, "oid"))
+    return rows.select(
+        F.when(landed, table).otherwise(F.lit(REJECTED)).alias("cdc_table"),
+        F.when(landed, schema).alias("schema"),
+        F.when(landed, payload).alias("payload"),
+        F.when(landed, op).alias("op"),
+        *rest,
+        "reason",
+        F.when(~landed, record_of).alias("record"),
+    )
+
+
+def _checked(
+    located: DataFrame, lookup: Lookup, early: Column, scope: Sequence[str], salt_by: Sequence[str], limit_bytes: int
+) -> DataFrame:
+    """All records with their table's lookup columns and the reason, null if landed."""
+    known = lookup.df.filter(F.col("table_name") != UNKNOWN_TABLE).withColumn("mapped", F.lit(True))
+    # a record that is rejected early needs no table
+    keyed = located.withColumn("early", early)
+    found = attach(keyed, lookup.keeping(known), [*scope, "oid"], "left", salt_by, limit_bytes)
+    no_table = F.when(F.col("mapped").isNull(), F.lit(NO_TABLE))
+    return found.withColumn("reason", F.coalesce("early", no_table)).drop("early", "mapped")
+
+
+def routed_text_changes(
     changes: DataFrame,
     lookup: Lookup,
+    keep: Sequence[str] = (),
     scope: Sequence[str] = (),
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> DataFrame:
-    """Text records that are not landed, each with the reason: JSON that could not be
-    read, a control record, no known operation, or no mapped table."""
+    """Envelopes of text records together with the records that are not landed, from one
+    evaluation of every record: what ``text_envelopes`` and ``rejected_changes`` give."""
+    text = F.col("event_text")
+    located = with_table_oid(changes).withColumn("op", ct.op_code(F.lower(text)))
+    checked = _checked(
+        located, lookup, _early_text(changes), scope, ["event_text", *[c for c in keep if c != "position"]], limit_bytes
+    )
+
+    def decoded(rows: DataFrame) -> DataFrame:
+        parsed = F.when(F.col("reason").isNull(), text)
+        return rows.withColumn("parsed", parsed).withColumn(
+            "tokens", ct.split_cells(ct.value_list(F.col("parsed")))
+        ).withColumn("cells", decode_cells(F.col("tokens")))
+
+    return _routed(checked, decoded, raw_payload(F.col("parsed")), keep, changes.columns)
+
+
+def routed_typed_changes(
+    changes: DataFrame,
+    lookup: Lookup,
+    keep: Sequence[str] = (),
+    scope: Sequence[str] = (),
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
+    """As ``routed_text_changes``, of typed records."""
+    located = changes.withColumn("op", kind_op(F.col("kind"))).withColumn("oid", F.col("table_oid").cast("string"))
+    salt_by = ["commit_ts", *[c for c in keep if c != "position"], F.to_json("cells")]
+    checked = _checked(located, lookup, _early_typed(changes), scope, salt_by, limit_bytes)
+    given = [F.to_json("cells").alias("cells") if c == "cells" else F.col(c) for c in changes.columns]
+    return _routed(
+        checked.withColumn("given", F.struct(*given)),
+        lambda rows: rows,
+        F.parse_json(F.lit("{}")),
+        keep,
+        [F.col("given")[c].alias(c) for c in changes.columns],
+    )
+
+
+def _early_text(changes: DataFrame) -> Column:
     text = F.col("event_text")
-    early = (
+    return (
         F.when(_unreadable(changes), F.lit(BAD_RECORD))
         .when(ct.is_control(text), F.lit(CONTROL))
         .when(~ct.has_operation(text), F.lit(NO_OPERATION))
     )
+
+
+def _early_typed(changes: DataFrame) -> Column:
+    kind = F.lower("kind")
+    return (
+        F.when(_unreadable(changes), F.lit(BAD_RECORD))
+        .when(kind.isin(*CONTROL_KINDS), F.lit(CONTROL))
+        .when(kind_op(kind).isNull(), F.lit(NO_OPERATION))
+        .when(F.col("cells").isNull(), F.lit(BAD_CELLS))
+    )
+
+
+def rejected_changes(
+    changes: DataFrame,
+    lookup: Lookup,
+    scope: Sequence[str] = (),
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
+    """Text records that are not landed, each with the reason: JSON that could not be
+    read, a control record, no known operation, or no mapped table."""
+    early = _early_text(changes)
     return _rejected(
         with_table_oid(changes), lookup, early, scope, ["event_text"], limit_bytes
     )
@@ -207,12 +298,7 @@ def rejected_typed_changes(
 ) -> DataFrame:
     """Typed records that are not landed, each with the reason: as for text
     records, or cells that could not be read."""
-    kind = F.lower("kind")
-    early = (
-        F.when(_unreadable(changes), F.lit(BAD_RECORD))
-        .when(kind.isin(*CONTROL_KINDS), F.lit(CONTROL))
-        .when(kind_op(kind).isNull(), F.lit(NO_OPERATION))
-        .when(F.col("cells").isNull(), F.lit(BAD_CELLS))
-    )
     located = changes.withColumn("oid", F.col("table_oid").cast("string"))
-    return _rejected(located, lookup, early, scope, ["commit_ts", "lsn"], limit_bytes)
+    # the records of one transaction differ in their cells only
+    salt_by = ["commit_ts", "lsn", F.to_json("cells")]
+    return _rejected(located, lookup, _early_typed(changes), scope, salt_by, limit_bytes)

@@ -1,17 +1,22 @@
 """Last log position of every pipeline.
 
 The table holds one row per pipeline, so it stays small. Parquet tables take no
-MERGE: a new version is written beside the old one and only then read.
+MERGE: a new version is written beside the old one, as a partition, and read once it is
+published; of writers at the same time one is first and the others merge again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rowharbor.functions.lsn import lsn_digits, lsn_number, lsn_text
-from rowharbor.work_dir import work_dir
+from rowharbor.functions.lsn import lsn_digits, lsn_number, lsn_small_letters, lsn_text
+from rowharbor.sinks.versions import Versions
+
+#: More than the small letters of an LSN can count.
+CASES = 1 << 17
 
 
 def create_offsets_table(spark: SparkSession, table: str) -> None:
@@ -27,28 +32,31 @@ def create_offsets_table(spark: SparkSession, table: str) -> None:
 
 
 def latest_positions(changes: DataFrame) -> DataFrame:
-    """Highest LSN of every pipeline in a batch of changes.
+    """Highest LSN of every pipeline in a batch of changes, as it was given.
 
     The first maximum is of numbers, grouped by pipeline and the LSN's number of
     digits: numbers are reduced by hash before the shuffle, where a maximum that
-    carries text would sort all rows. What is left is a few rows per pipeline.
+    carries text would sort all rows. The case of the letters is part of the number. What
+    is left is a few rows per pipeline. Of equal LSNs the one with most digits counts.
     """
     lsn = F.col("lsn")
     high_digits, low_digits = lsn_digits(lsn)
+    known = lsn_number(lsn)
     tops = (
         changes.select(
             "pipeline_id",
-            lsn_number(lsn).alias("number"),
+            (known * F.lit(CASES) + lsn_small_letters(lsn)).cast("decimal(38,0)").alias("cased"),
             high_digits.alias("high_digits"),
             low_digits.alias("low_digits"),
         )
         .groupBy("pipeline_id", "high_digits", "low_digits")
-        .agg(F.max("number").alias("number"))
-    )
-    text = lsn_text(F.col("number"), F.col("high_digits"), F.col("low_digits"))
-    return tops.groupBy("pipeline_id").agg(
-        F.max_by(text, F.col("number")).alias("last_lsn")
+        .agg(F.max("cased").alias("cased"))
+        .withColumn("number", F.floor(F.col("cased") / F.lit(CASES)).cast("decimal(20,0)"))
+        .withColumn("small", (F.col("cased") % F.lit(CASES)).cast("long"))
     )
+    text = lsn_text(F.col("number"), F.col("high_digits"), F.col("low_digits"), F.col("small"))
+    order = F.when(F.col("number").isNotNull(), F.struct("number", "high_digits", "low_digits", "small"))
+    return tops.groupBy("pipeline_id").agg(F.max_by(text, order).alias("last_lsn"))
 
 
 def merged_offsets(
@@ -73,30 +81,66 @@ def merged_offsets(
     )
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def _versions(spark: SparkSession, table: str) -> Versions:
+    return Versions(spark, f"{_location(spark, table)}/_versions")
+
+
 def current_offsets(spark: SparkSession, table: str) -> DataFrame:
     """Newest version of the offsets table."""
-    offsets = spark.table(table)
-    newest = offsets.agg(F.max("version").alias("version"))
-    return offsets.join(F.broadcast(newest), "version").drop("version")
+    newest = _versions(spark, table).newest()
+    return _version(spark, table, None if newest is None else newest[1]["data"])
+
+
+def _version(spark: SparkSession, table: str, data: int | None) -> DataFrame:
+    return spark.table(table).where(F.col("version") == F.lit(data).cast("long")).drop("version")
 
 
 def update_offsets(spark: SparkSession, table: str, source: DataFrame) -> None:
-    """Upsert ``source`` into the offsets table as its next version. The merged
-    rows are written aside first, as a table that is read is not overwritten. The
-    version before stays for readers that began with it; older ones go."""
+    """Upsert ``source`` (pipeline_id, last_lsn) into the offsets table."""
+    _change(spark, table, lambda current: merged_offsets(current, source))
+
+
+def raise_offsets(spark: SparkSession, table: str, source: DataFrame) -> None:
+    """As ``update_offsets``, for positions that never go back: of the known and the
+    given LSN of a pipeline the higher one stays."""
+
+    def merge(current: DataFrame) -> DataFrame:
+        known = current.join(source.select("pipeline_id"), "pipeline_id", "left_semi")
+        both = source.union(known.select("pipeline_id", "last_lsn"))
+        return merged_offsets(current, latest_positions(both.withColumnRenamed("last_lsn", "lsn")))
+
+    _change(spark, table, merge)
+
+
+def _change(spark: SparkSession, table: str, merge: Callable[[DataFrame], DataFrame]) -> None:
+    """Write the rows that ``merge`` makes of the newest version beside it, and let them be
+    the newest if no other writer was faster; else merge again with what that one wrote,
+    so no update is lost. The version before stays for readers that began with it."""
     create_offsets_table(spark, table)
-    newest = spark.table(table).agg(F.max("version")).first()[0]
-    version = 0 if newest is None else newest + 1
-    aside = work_dir(spark, "offsets")
-    merged_offsets(current_offsets(spark, table), source).write.parquet(aside)
-    spark.sql(
-        f"""INSERT OVERWRITE {table} PARTITION (version = {version})
-            SELECT pipeline_id, last_lsn, updated_at FROM {{merged}}""",
-        merged=spark.read.parquet(aside),
-    )
-    spark.sql(
-        f"ALTER TABLE {table} DROP IF EXISTS PARTITION (version = {version - 2})"
-    )
+    location = _location(spark, table)
+    versions = Versions(spark, f"{location}/_versions")
+    while True:
+        number, newest = versions.newest() or (-1, {"data": None, "before": None})
+        data = uuid.uuid4().int >> 66
+        merged = merge(_version(spark, table, newest["data"]))
+        # writers into one table would share its folder for unfinished files
+        merged.select("pipeline_id", "last_lsn", "updated_at").coalesce(1).write.parquet(
+            f"{location}/version={data}"
+        )
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION (version = {data})")
+        done = versions.publish(number + 1, {"data": data, "before": newest["data"]})
+        unused = newest["before"] if done else data
+        if unused is not None:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (version = {unused})")
+        if done:
+            if number > 0:
+                versions.remove(number - 1)
+            return
 
 
 def last_offset(

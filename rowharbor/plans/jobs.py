@@ -12,26 +12,28 @@ from rowharbor.operators.catalog import table_columns, table_lookup
 from rowharbor.operators.changes import (
     rejected_changes,
     rejected_typed_changes,
+    routed_text_changes,
+    routed_typed_changes,
     text_envelopes,
     typed_envelopes,
 )
 from rowharbor.operators.lookup import Lookup, stored
-from rowharbor.operators.offsets import (
-    create_offsets_table,
-    current_offsets,
-    latest_positions,
-    update_offsets,
-)
+from rowharbor.operators.offsets import latest_positions, raise_offsets
 from rowharbor.operators.snapshot import typed_snapshot
-from rowharbor.sinks.dataset import LANDING_COLUMN, land
+from rowharbor.sinks.dataset import land, landing_rows
+from rowharbor.sinks.landings import landings
+from rowharbor.sources.change_log import numbered
 from rowharbor.sources.spread import spread
 from rowharbor.streaming.landing import (
     FLUSH_INTERVAL_MS,
+    landing_id,
+    not_landed_before,
+    open_ledger,
     start_rejects,
     start_writer,
 )
 
-POSITION = ("pipeline_id", "lsn")
+POSITION = ("pipeline_id", "lsn", "position")
 TABLES_AT_ONCE = 4
 
 
@@ -89,9 +91,10 @@ def land_log(
     land_id: str,
     scope: Sequence[str] = (),
     compact: bool = False,
+    rejects: bool = False,
 ) -> None:
-    """Land a text or typed change log in one batch."""
-    land(_envelopes(log, lookup, scope), root, land_id, compact)
+    """Land a text or typed change log in one batch; ``rejects`` as in ``follow_log``."""
+    land(_rows(log, lookup, scope, rejects), root, land_id, compact)
 
 
 def follow_log(
@@ -104,34 +107,28 @@ def follow_log(
     once: bool = False,
     compact: bool = False,
     interval_ms: int = FLUSH_INTERVAL_MS,
-    rejects: str | None = None,
+    rejects: bool = False,
     offsets: str | None = None,
 ) -> StreamingQuery:
     """Land a streaming change log. The envelopes are built per micro-batch, as a
-    batch job: it is planned adaptively, and a batch of few files is spread.
-
-    With ``rejects`` (a directory) the records that are not landed are kept there,
-    and with ``offsets`` (a table) the positions of what was landed are recorded,
-    from the same reading of the log: the micro-batch, which the flush limits
-    bound, is kept by the executors while it is written. A lost one is read again."""
-
-    def write(batch: DataFrame, land_id: str) -> None:
-        records = spread(batch)
-        if rejects is None and offsets is None:
-            land_log(records, lookup, root, land_id, scope, compact)
-            return
-        records = records.persist()
-        try:
-            land_log(records, lookup, root, land_id, scope, compact)
-            if rejects is not None:
-                keep_rejects(records, lookup, rejects, land_id, scope)
-            if offsets is not None:
-                landed = _envelopes(records, lookup, scope)
-                record_positions(batch.sparkSession, landed, offsets)
-        finally:
-            records.unpersist()
-
-    checkpoint = f"{checkpoints}/{stream}"
+    batch job: it is planned adaptively, and a batch of few files is spread. How a
+    stream goes on after a crash or without its checkpoint is said in
+    ``streaming.landing``.
+
+    With ``rejects`` the records that are not landed are kept in the dataset too: one job
+    reads every record once, decides, and writes both. With ``offsets`` (a directory) the
+    positions of what was landed are recorded, from the columns of the landing."""
+    spark, checkpoint = log.sparkSession, f"{checkpoints}/{stream}"
+    ledger = open_ledger(spark, stream, checkpoint, root, "position" in log.columns)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        land_id = landing_id(ledger.owner.replace("/", "-"), batch_id)
+        if landings(spark, root).batches.get(ledger.owner, -1) < batch_id:
+            records = not_landed_before(spread(numbered(batch)), ledger)
+            land(_rows(records, lookup, scope, rejects), root, land_id, compact, ledger.owner, batch_id)
+        if offsets is not None:
+            record_positions(spark, landing_rows(spark, root, land_id), offsets)
+
     return start_writer(log, write, stream, checkpoint, once, interval_ms)
 
 
@@ -148,32 +145,10 @@ def follow_rejects(
     return start_rejects(_rejects(log, lookup, scope), path, checkpoint, once)
 
 
-def keep_rejects(
-    log: DataFrame,
-    lookup: Lookup,
-    path: str,
-    land_id: str,
-    scope: Sequence[str] = (),
-) -> None:
-    """Keep the records of a landing that are not landed, in a directory of the
-    landing's own by reason; done again, it replaces itself."""
-    (
-        _rejects(log, lookup, scope)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("reason")
-        .parquet(f"{path}/{LANDING_COLUMN}={land_id}")
-    )
-
-
 def record_positions(spark: SparkSession, landed: DataFrame, offsets: str) -> None:
     """Put the highest landed LSN of every pipeline in the offsets table. A position
     never goes back: files of a log may arrive in another order than its records."""
-    create_offsets_table(spark, offsets)
-    new = latest_positions(landed)
-    known = current_offsets(spark, offsets).join(new.select("pipeline_id"), "pipeline_id", "left_semi")
-    both = new.union(known.select("pipeline_id", "last_lsn"))
-    update_offsets(spark, offsets, latest_positions(both.withColumnRenamed("last_lsn", "lsn")))
+    raise_offsets(spark, offsets, latest_positions(landed))
 
 
 def _rejects(log: DataFrame, lookup: Lookup, scope: Sequence[str]) -> DataFrame:
@@ -184,6 +159,11 @@ def _rejects(log: DataFrame, lookup: Lookup, scope: Sequence[str]) -> DataFrame:
     return rejects.withColumn("cells", F.to_json("cells"))
 
 
-def _envelopes(log: DataFrame, lookup: Lookup, scope: Sequence[str]) -> DataFrame:
-    build = typed_envelopes if "cells" in log.columns else text_envelopes
-    return build(log, lookup, keep=POSITION, scope=scope)
+def _rows(log: DataFrame, lookup: Lookup, scope: Sequence[str], rejects: bool) -> DataFrame:
+    typed = "cells" in log.columns
+    if rejects:
+        build = routed_typed_changes if typed else routed_text_changes
+    else:
+        build = typed_envelopes if typed else text_envelopes
+    keep = [c for c in POSITION if c in log.columns]
+    return build(log, lookup, keep=keep, scope=scope)

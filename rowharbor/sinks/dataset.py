@@ -1,46 +1,77 @@
 """All change tables as one Parquet dataset.
 
-Layout: ``<root>/land_id=<landing>/cdc_table=<TABLE>_CDC/*.parquet``. A landing
-is one snapshot or one micro-batch and writes a directory of its own, so doing
-it again after a failure replaces its own output and nothing else. One job
+Layout: ``<root>/land_id=<landing>/part=<part>/cdc_table=<TABLE>_CDC/*.parquet``. A
+landing is one snapshot or one micro-batch. Each time it is written it gets a part of its
+own, which counts once it is committed (``landings.py``); so doing it again after a
+failure replaces its own output and nothing else, and a reader sees all of it or nothing. One job
 writes every table of a landing; no shuffle is needed, since tasks write each
-table they meet.
+table they meet. Records that are not landed can be kept beside, as the table ``rejected``.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rowharbor.sinks.landings import Landings, commit, landings
+from rowharbor.work_dir import files_below, remove_dir
+
 TABLE_COLUMN = "cdc_table"
 LANDING_COLUMN = "land_id"
+PART_COLUMN = "part"
 MAX_RECORDS_PER_FILE = 5_000_000
+#: Where rejected records are; no change table has a name without the suffix.
+REJECTED = "rejected"
+#: Where a record stands in its log; see ``sources.change_log``.
+POSITION = "STRUCT<at: TIMESTAMP, file: STRING, block: LONG, row: LONG>"
 LANDED = (
     "schema_database VARIANT, payload VARIANT, operation STRING, "
     "created_at TIMESTAMP_NTZ, ts_ms LONG, pipeline_id INT, lsn STRING, "
-    f"{LANDING_COLUMN} STRING, {TABLE_COLUMN} STRING"
+    f"position {POSITION}, {LANDING_COLUMN} STRING, {TABLE_COLUMN} STRING"
 )
+_STORED = f"{LANDED}, reason STRING, record VARIANT, {PART_COLUMN} STRING"
+#: Hours after which parts that do not count may go; no reader is that old.
+KEEP_HOURS = 24
 
 
 def change_rows(envelopes: DataFrame) -> DataFrame:
     """Envelopes as rows of a change table: the envelope's schema, payload and
     operation under the table's column names, and the time of writing. Time,
-    pipeline and position of the change are kept when they are there."""
-    extra = [c for c in ("ts_ms", "pipeline_id", "lsn") if c in envelopes.columns]
+    pipeline and position of the change are kept when they are there, and so are a
+    rejected record and the reason."""
+    extra = ("ts_ms", "pipeline_id", "lsn", "position", "reason", "record")
     return envelopes.select(
         TABLE_COLUMN,
         F.col("schema").alias("schema_database"),
         "payload",
         F.col("op").alias("operation"),
         F.localtimestamp().alias("created_at"),
-        *extra,
+        *[c for c in extra if c in envelopes.columns],
+    )
+
+
+def _write(rows: DataFrame, root: str, land_id: str, part: str, by: Iterable[str] = ()) -> None:
+    (
+        rows.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .partitionBy(*by, TABLE_COLUMN)
+        .parquet(f"{root}/{LANDING_COLUMN}={land_id}/{PART_COLUMN}={part}")
     )
 
 
-def land(envelopes: DataFrame, root: str, land_id: str, compact: bool = False) -> None:
-    """Write a landing. An empty one writes no rows.
+def land(
+    envelopes: DataFrame,
+    root: str,
+    land_id: str,
+    compact: bool = False,
+    owner: str = "",
+    batch: int | None = None,
+) -> str:
+    """Write a landing and let it count; returns its part. An empty one has no rows.
+    A landing done again by the same ``owner`` (a stream, else none) replaces itself.
 
     Without ``compact`` the rows are written where they are; with many tables in
     many tasks that gives many small files. ``compact`` adds one shuffle by table
@@ -50,19 +81,40 @@ def land(envelopes: DataFrame, root: str, land_id: str, compact: bool = False) -
     rows = change_rows(envelopes)
     if compact:
         rows = rows.hint("rebalance", F.col(TABLE_COLUMN))
-    (
-        rows.write.mode("overwrite")
-        # whatever the session says: a landing done again leaves no stale part
-        .option("partitionOverwriteMode", "static")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(TABLE_COLUMN)
-        .parquet(f"{root}/{LANDING_COLUMN}={land_id}")
-    )
+    part = uuid.uuid4().hex[:12]
+    _write(rows, root, land_id, part)
+    commit(envelopes.sparkSession, root, {land_id: part}, owner, batch=batch)
+    return part
 
 
-def read_landed(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of all change tables; a filter on ``cdc_table`` prunes directories."""
-    return spark.read.schema(LANDED).parquet(root)
+def read_stored(spark: SparkSession, root: str, at: Landings | None = None) -> DataFrame:
+    """Everything that counts, rejected records too, as of one version."""
+    at = at or landings(spark, root)
+    directories = [f"{root}/{at.directory(i)}" for i in sorted(at.parts)]
+    if not directories:
+        return spark.createDataFrame([], _STORED)
+    return spark.read.schema(_STORED).option("basePath", root).parquet(*directories)
+
+
+def read_landed(spark: SparkSession, root: str, at: Landings | None = None) -> DataFrame:
+    """Rows of all change tables; a filter on ``cdc_table`` prunes directories. What is
+    landed later, or compacted, does not show: the version is that of the call."""
+    stored = read_stored(spark, root, at)
+    return stored.filter(F.col(TABLE_COLUMN) != REJECTED).drop("reason", "record", PART_COLUMN)
+
+
+def landing_rows(spark: SparkSession, root: str, land_id: str) -> DataFrame:
+    """Rows of one landing; none if it was compacted meanwhile."""
+    now = landings(spark, root)
+    if land_id not in now.parts:
+        return read_landed(spark, root, Landings())
+    return read_landed(spark, root, Landings(now.version, {land_id: now.parts[land_id]}))
+
+
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """Records that were not landed, as variants, each with the reason."""
+    stored = read_stored(spark, root).filter(F.col(TABLE_COLUMN) == REJECTED)
+    return stored.select("reason", "record", "position", LANDING_COLUMN)
 
 
 def read_change_table(spark: SparkSession, root: str, table_name: str) -> DataFrame:
@@ -71,14 +123,61 @@ def read_change_table(spark: SparkSession, root: str, table_name: str) -> DataFr
     that directories spell otherwise is filtered, as in ``read_landed``."""
     own = F.col(TABLE_COLUMN) == F.concat(F.upper(F.lit(table_name)), F.lit("_CDC"))
     if re.fullmatch("[A-Za-z0-9_]+", table_name):
-        path = f"{root}/{LANDING_COLUMN}=*/{TABLE_COLUMN}={table_name.upper()}_CDC"
+        now = landings(spark, root)
+        directory = f"{TABLE_COLUMN}={table_name.upper()}_CDC"
+        path = f"{root}/{LANDING_COLUMN}=*/{PART_COLUMN}=*/{directory}"
         try:
-            return spark.read.schema(LANDED).option("basePath", root).parquet(path).filter(own)
+            found = spark.read.schema(_STORED).option("basePath", root).parquet(path)
+            counts = F.col(PART_COLUMN).isin(list(now.parts.values()))
+            return found.filter(own & counts).drop("reason", "record", PART_COLUMN)
         except AnalysisException:  # no landing has the table
             pass
     return read_landed(spark, root).filter(own)
 
 
+def in_log_order(rows: DataFrame) -> DataFrame:
+    """Landed rows in the order of their log: of its files by time and name, in a file
+    by row. Records of one transaction share position and time of commit, so this order
+    is what tells them apart. Sorted by range, not by one task."""
+    return rows.orderBy("position")
+
+
+def compact_landings(
+    spark: SparkSession, root: str, land_ids: Iterable[str] | None = None, name: str | None = None
+) -> str | None:
+    """Write the given landings (all that count, if none are given) as one, with files of
+    full size in which a table's rows are in log order. Readers keep what they opened,
+    new ones see the compacted landing; nothing is doubled in between, and a crash before
+    the change leaves all as it was. Landings that another compaction has taken meanwhile
+    fail this one. Returns the new landing's id, None if there is nothing to do."""
+    now = landings(spark, root)
+    gone = sorted(now.parts if land_ids is None else land_ids)
+    if len(gone) < 2:
+        return None
+    few = Landings(now.version, {i: now.parts[i] for i in gone})
+    rows = read_stored(spark, root, few).drop(LANDING_COLUMN, PART_COLUMN)
+    rows = rows.hint("rebalance", F.col(TABLE_COLUMN)).sortWithinPartitions(TABLE_COLUMN, "position")
+    land_id, part = name or f"compacted-{uuid.uuid4().hex[:12]}", uuid.uuid4().hex[:12]
+    _write(rows, root, land_id, part)
+    commit(spark, root, {land_id: part}, gone=gone)
+    return land_id
+
+
+def remove_unused(spark: SparkSession, root: str, keep_hours: float = KEEP_HOURS) -> list[str]:
+    """Delete parts that do not count and are older than ``keep_hours``: those replaced,
+    compacted or left by a crash. Returns what was deleted."""
+    # listed before the version is read: what is committed in between counts
+    found = files_below(spark, f"{root}/{LANDING_COLUMN}=*/{PART_COLUMN}=*")
+    now = landings(spark, root)
+    counted = {now.directory(i) for i in now.parts}
+    removed = [
+        path for path, hours in found if hours >= keep_hours and "/".join(path.split("/")[-2:]) not in counted
+    ]
+    for path in removed:
+        remove_dir(spark, path)
+    return removed
+
+
 def with_variant_schema(old: DataFrame) -> DataFrame:
     """Rows of a change table whose schema column is still text, with it as a
     variant. Text that is not JSON stays, as a JSON string."""

@@ -1,14 +1,15 @@
 """Change logs as they were landed by a capture process.
 
 A log is a directory of Parquet, JSON or text files, or a Kafka topic whose
-values are JSON. Batch and streaming reads give the same columns.
+values are JSON. Batch and streaming reads give the same columns. Every record has its
+``position`` in the log.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 TEXT_LOG = "pipeline_id INT, lsn STRING, commit_ts TIMESTAMP, event_text STRING"
 TYPED_LOG = (
@@ -25,6 +26,32 @@ BAD_RECORD = "bad_record"
 _KEEP_BAD = {"columnNameOfCorruptRecord": BAD_RECORD}
 
 
+def log_position(file_format: str) -> Column:
+    """Where a record stands in a log of files, for the order of its records: time and
+    name of the file, then the row. Parquet counts the rows of a file; of text and JSON
+    there is the slice that is read at once, and ``numbered`` adds the row."""
+    block, row = F.col("_metadata.file_block_start"), F.lit(None).cast("long")
+    if file_format == "parquet":
+        block, row = F.lit(0).cast("long"), F.col("_metadata.row_index")
+    return F.struct(
+        F.col("_metadata.file_modification_time").alias("at"),
+        F.col("_metadata.file_path").alias("file"),
+        block.alias("block"),
+        row.alias("row"),
+    ).alias("position")
+
+
+def numbered(log: DataFrame) -> DataFrame:
+    """Records with a row in their position, also those of text and JSON: a task reads a
+    slice in order, so the record's number in the task is in order too. For a batch (or
+    micro-batch) as it is read, before rows are moved."""
+    if "position" not in log.columns or log.isStreaming:
+        return log
+    in_task = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    row = F.coalesce(F.col("position.row"), in_task)
+    return log.withColumn("position", F.col("position").withField("row", row))
+
+
 def _with_bad_record(schema: str) -> str:
     return f"{schema}, {BAD_RECORD} STRING"
 
@@ -40,7 +67,9 @@ def _load(
     reader = spark.readStream if streaming else spark.read
     if file_format == "json":
         schema, options = _with_bad_record(schema), {**options, **_KEEP_BAD}
-    return reader.format(file_format).schema(schema).options(**options).load(path)
+    log = reader.format(file_format).schema(schema).options(**options).load(path)
+    log = log.select("*", log_position(file_format))
+    return log if file_format == "parquet" else numbered(log)
 
 
 def parsed_cells(log: DataFrame) -> DataFrame:
@@ -71,8 +100,9 @@ def read_text_log(
         return lines.select(
             F.lit(None).cast("int").alias("pipeline_id"),
             F.lit(None).cast("string").alias("lsn"),
-            F.col("_metadata.file_modification_time").alias("commit_ts"),
+            F.col("position.at").alias("commit_ts"),
             F.col("value").alias("event_text"),
+            "position",
         )
     return _load(spark, file_format, TEXT_LOG, path, streaming, options)
 
@@ -104,9 +134,17 @@ def read_kafka_log(
     reader = spark.readStream if streaming else spark.read
     values = reader.format("kafka").options(**options).load()
     schema = TYPED_JSON if typed else TEXT_LOG
+    # a partition of a topic is read in order; its offset is the row
+    position = F.struct(
+        F.lit(None).cast("timestamp").alias("at"),
+        F.concat_ws("-", "topic", "partition").alias("file"),
+        F.lit(0).cast("long").alias("block"),
+        F.col("offset").alias("row"),
+    )
     log = values.select(
         F.from_json(
             F.col("value").cast("string"), _with_bad_record(schema), _KEEP_BAD
-        ).alias("record")
-    ).select("record.*")
+        ).alias("record"),
+        position.alias("position"),
+    ).select("record.*", "position")
     return parsed_cells(log) if typed else log

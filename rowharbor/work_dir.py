@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -22,6 +23,14 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def files_below(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
+    """Paths that match a pattern, each with the hours since it was last changed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    now = time.time() * 1000
+    return [(f.getPath().toString(), (now - f.getModificationTime()) / 3_600_000) for f in found]
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new directory for ``name`` in the folder all executors share, as the
     session names it. Only a local session may do without the setting."""

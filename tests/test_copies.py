@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import lookup_of
+from rowharbor.operators import offsets
 from rowharbor.plans import jobs
 from rowharbor.sinks import dataset
 from rowharbor.streaming import landing
@@ -44,7 +45,7 @@ def test_one_table_that_fails_stops_no_other(spark, tmp_path):
 
 
 def test_rejects_and_positions_come_with_the_landing(spark, tmp_path):
-    path, root, state, rejects = (str(tmp_path / n) for n in ("log", "root", "state", "rejects"))
+    path, root, state = (str(tmp_path / n) for n in ("log", "root", "state"))
     for i in (2, 0, 1):  # files in another order than the log
         write_file(spark, path, 40 * i, 40)
     lookup = lookup_of(spark)
@@ -55,14 +56,14 @@ def test_rejects_and_positions_come_with_the_landing(spark, tmp_path):
         "main",
         state,
         once=True,
-        rejects=rejects,
+        rejects=True,
         offsets="copies_positions",
     ).awaitTermination()
     assert ids(dataset.read_landed(spark, root)) == KEPT
-    kept = spark.read.parquet(rejects)
+    kept = dataset.read_rejected(spark, root)
     assert kept.count() == 120 - len(KEPT)
     assert kept.select("land_id").distinct().count() == 3
-    found = jobs.current_offsets(spark, "copies_positions").select("pipeline_id", "last_lsn")
+    found = offsets.current_offsets(spark, "copies_positions").select("pipeline_id", "last_lsn")
     # 119 is a control record and is not landed
     assert sorted(tuple(r) for r in found.collect()) == [(0, "0/76"), (1, "0/75")]
 

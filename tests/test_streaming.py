@@ -1,4 +1,7 @@
+import json
+import shutil
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +10,7 @@ from helpers import lookup_of, payloads
 from rowharbor.operators import changes
 from rowharbor.plans import jobs
 from rowharbor.sinks import dataset
+from rowharbor.sinks.landings import Refused, landings
 from rowharbor.sources import change_log
 from rowharbor.streaming import landing
 
@@ -84,33 +88,39 @@ def test_goes_on_from_the_checkpoint(spark, where):
     assert ids(dataset.read_landed(spark, where["root"])) == KEPT
 
 
-def test_a_failed_batch_is_done_again_without_loss_or_double(spark, where):
+def test_a_failed_batch_is_done_again_without_loss_or_double(spark, where, monkeypatch):
     for i in range(3):
         write_file(spark, where["log"], 40 * i, 40)
-    lookup = lookup_of(spark)
-    failed = []
+    lookup, whole, failed = lookup_of(spark), jobs.land, []
 
-    def write(batch, land_id):
-        dataset.land(batch, where["root"], land_id)
+    def land(rows, root, land_id, *rest):
+        whole(rows, root, land_id, *rest)
         if land_id.endswith("1") and not failed:
             failed.append(land_id)
             raise RuntimeError("lost after the write")
 
-    def run():
-        rows = changes.text_envelopes(
-            log(spark, where["log"], maxFilesPerTrigger=1), lookup, jobs.POSITION
-        )
-        landing.start_writer(
-            rows, write, "main", where["state"], once=True
-        ).awaitTermination()
-
+    monkeypatch.setattr(jobs, "land", land)
+    limits = landing.flush_limits(max_files=1)
     with pytest.raises(Exception, match="lost after the write"):
-        run()
+        follow(spark, where, lookup, **limits)
     assert ids(dataset.read_landed(spark, where["root"])) != KEPT
-    run()
-    token = landing.checkpoint_token(spark, where["state"])
-    assert failed == [f"main-{token}-000000000001"]
+    follow(spark, where, lookup, **limits)
     assert ids(dataset.read_landed(spark, where["root"])) == KEPT
+    assert len(landings(spark, where["root"]).parts) == 3
+
+
+def test_a_batch_that_fails_before_it_counts_is_written_again(spark, where, monkeypatch):
+    write_file(spark, where["log"], 0, 120)
+    lookup, whole = lookup_of(spark), dataset.commit
+    monkeypatch.setattr(dataset, "commit", lambda *a, **k: 1 / 0)
+    with pytest.raises(Exception, match="division by zero"):
+        follow(spark, where, lookup)
+    assert dataset.read_landed(spark, where["root"]).count() == 0
+    monkeypatch.setattr(dataset, "commit", whole)
+    follow(spark, where, lookup)
+    assert ids(dataset.read_landed(spark, where["root"])) == KEPT
+    left = dataset.remove_unused(spark, where["root"], keep_hours=0)
+    assert len(left) == 1 and ids(dataset.read_landed(spark, where["root"])) == KEPT
 
 
 def test_a_quiet_tail_is_flushed(spark, where):
@@ -238,12 +248,119 @@ def test_plain_text_log(spark, where):
     assert abs(got[0][1] / 1000 - time.time()) < 600
 
 
-def test_a_new_checkpoint_keeps_what_landed(spark, where, tmp_path):
+def checkpoint(where):
+    return Path(where["state"]) / "main"
+
+
+@pytest.mark.parametrize("lost", ["deleted", "elsewhere"])
+def test_a_stream_without_its_checkpoint_goes_on(spark, where, tmp_path, lost):
+    lookup = lookup_of(spark)
+    write_file(spark, where["log"], 0, 60)
+    follow(spark, where, lookup)
+    if lost == "deleted":
+        shutil.rmtree(checkpoint(where))
+    else:
+        where = where | {"state": str(tmp_path / "another")}
+    write_file(spark, where["log"], 60, 30)
+    follow(spark, where, lookup)
+    assert ids(dataset.read_landed(spark, where["root"])) == [i for i in KEPT if i < 90]
+    # and goes on from the new one
+    write_file(spark, where["log"], 90, 30)
+    follow(spark, where, lookup)
+    assert ids(dataset.read_landed(spark, where["root"])) == KEPT
+
+
+def test_a_checkpoint_that_is_moved_goes_on(spark, where, tmp_path):
+    lookup = lookup_of(spark)
+    write_file(spark, where["log"], 0, 60)
+    follow(spark, where, lookup)
+    shutil.move(where["state"], tmp_path / "moved")
+    where = where | {"state": str(tmp_path / "moved")}
+    write_file(spark, where["log"], 60, 60)
+    follow(spark, where, lookup)
+    assert ids(dataset.read_landed(spark, where["root"])) == KEPT
+    assert len(landings(spark, where["root"]).batches) == 1
+
+
+def test_an_older_copy_of_a_checkpoint_goes_on(spark, where, tmp_path):
+    lookup, limits = lookup_of(spark), landing.flush_limits(max_files=1)
+    write_file(spark, where["log"], 0, 30)
+    follow(spark, where, lookup, **limits)
+    shutil.copytree(checkpoint(where), tmp_path / "copy")
+    for first in (30, 60):
+        write_file(spark, where["log"], first, 30)
+        follow(spark, where, lookup, **limits)
+    shutil.rmtree(checkpoint(where))
+    shutil.copytree(tmp_path / "copy", checkpoint(where))
+    write_file(spark, where["log"], 90, 30)
+    follow(spark, where, lookup)  # other batches than before
+    assert ids(dataset.read_landed(spark, where["root"])) == KEPT
+    follow(spark, where, lookup)
+    assert ids(dataset.read_landed(spark, where["root"])) == KEPT
+
+
+def test_a_lost_checkpoint_after_compaction(spark, where):
+    lookup, limits = lookup_of(spark), landing.flush_limits(max_files=1)
+    for first in (0, 30, 60):
+        write_file(spark, where["log"], first, 30)
+    follow(spark, where, lookup, **limits)
+    dataset.compact_landings(spark, where["root"])
+    shutil.rmtree(checkpoint(where))
+    write_file(spark, where["log"], 90, 30)
+    follow(spark, where, lookup)
+    assert ids(dataset.read_landed(spark, where["root"])) == KEPT
+
+
+def test_a_dataset_behind_its_checkpoint_is_refused(spark, where, tmp_path):
+    lookup = lookup_of(spark)
+    write_file(spark, where["log"], 0, 60)
+    follow(spark, where, lookup)
+    with pytest.raises(Refused, match="lacks batches 0 to 0"):
+        follow(spark, where | {"root": str(tmp_path / "empty")}, lookup)
+
+
+def test_a_log_without_positions_cannot_go_on_without_its_checkpoint(spark, where):
+    lookup = lookup_of(spark)
+    write_file(spark, where["log"], 0, 60)
+
+    def run():
+        bare = log(spark, where["log"]).drop("position")
+        jobs.follow_log(bare, lookup, where["root"], "main", where["state"], once=True).awaitTermination()
+
+    run()
+    run()
+    shutil.rmtree(checkpoint(where))
+    with pytest.raises(Refused, match="no position"):
+        run()
+    assert ids(dataset.read_landed(spark, where["root"])) == [i for i in KEPT if i < 60]
+
+
+def test_a_landing_of_another_is_refused(spark, where):
     lookup = lookup_of(spark)
     write_file(spark, where["log"], 0, 60)
     follow(spark, where, lookup)
-    before = dataset.read_landed(spark, where["root"]).count()
-    assert before > 0
-    again = where | {"state": str(tmp_path / "another")}
-    follow(spark, again, lookup)
-    assert dataset.read_landed(spark, where["root"]).count() == 2 * before
+    taken = next(iter(landings(spark, where["root"]).parts))
+    with pytest.raises(Refused, match="another owner"):
+        jobs.land_log(change_log.read_text_log(spark, where["log"]), lookup, where["root"], taken)
+    assert ids(dataset.read_landed(spark, where["root"])) == [i for i in KEPT if i < 60]
+
+
+@pytest.mark.parametrize("file_format", ["json", "text"])
+def test_positions_of_line_logs_follow_the_lines(spark, where, file_format):
+    def line(i):
+        text = f"Insert(TableId(16384), values: [I32({i})]){' ' * (i % 50)}"
+        return json.dumps({"pipeline_id": 1, "lsn": "0/1", "event_text": text}) if file_format == "json" else text
+
+    for name in ("a", "b"):
+        first = 0 if name == "a" else 5000
+        lines = spark.createDataFrame([(line(first + i),) for i in range(5000)], "value string")
+        lines.coalesce(1).write.mode("append").text(where["log"])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        records = change_log.read_text_log(spark, where["log"], file_format)
+        assert records.rdd.getNumPartitions() > 4
+        jobs.land_log(records, lookup_of(spark), where["root"], "all")
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    rows = dataset.in_log_order(dataset.read_landed(spark, where["root"]))
+    assert [r[0] for r in rows.select(F.variant_get("payload", "$.id", "int")).collect()] == list(range(10000))

@@ -6,10 +6,13 @@ starts from the same text.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowharbor.operators.catalog import table_lookup
 from rowharbor.operators.lookup import Lookup, measured
+from rowharbor.sources.change_log import log_position
 from rowharbor.sources.spread import spread
 from rowharbor.streaming.landing import flush_limits
 
@@ -98,6 +101,9 @@ ORDER_ROW_TEXT = """concat('TableRow { values: [I64(', CAST(o_orderkey AS string
 DOCUMENT_ROW_TEXT = """concat('TableRow { values: [I64(', CAST(doc_id AS string),
     '), String("', lang, '"), String("', replace(text, '"', concat(chr(92), '"')),
     '")] }')"""
+# As many events as this share a log position, as those of one transaction do.
+EVENTS_AT_ONCE = 50
+SHARED_LSN = f"concat('0/', hex(CAST(floor(event_id / {EVENTS_AT_ONCE}) AS bigint)))"
 LSN = """concat(hex(CAST(floor(event_id / 7) AS bigint)), '/',
     hex(event_id % 7 * 268435456))"""
 
@@ -143,8 +149,9 @@ def copied_lookup(spark: SparkSession) -> Lookup:
     return measured(table_lookup(tables))
 
 
-def as_text_log(events: DataFrame) -> DataFrame:
+def as_text_log(events: DataFrame, *kept: Column) -> DataFrame:
     return events.select(
+        *kept,
         "event_id",
         F.col("user_id").cast("int").alias("pipeline_id"),
         F.expr(LSN).alias("lsn"),
@@ -165,16 +172,26 @@ def streamed_text_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_in_files(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """The events as several files, so that a stream takes several batches."""
+def log_in_files(
+    spark: SparkSession, sf_dir: str, path: str, files: Sequence[int] = range(LOG_FILES)
+) -> None:
+    """The events as several files, written one after the other, so that a stream takes
+    several batches; ``files`` says which of them."""
     events = table(spark, sf_dir, "events")
-    events.repartitionByRange(LOG_FILES, "event_id").write.parquet(path)
+    bounds = events.approxQuantile("event_id", [n / LOG_FILES for n in range(1, LOG_FILES)], 0.01)
+    ranges = list(zip([None, *bounds], [*bounds, None], strict=True))
+    for low, high in (ranges[i] for i in files):
+        above = F.lit(True) if low is None else F.col("event_id") >= low
+        below = F.lit(True) if high is None else F.col("event_id") < high
+        own = events.where(above & below).repartitionByRange(1, "event_id").sortWithinPartitions("event_id")
+        own.write.mode("append").parquet(path)
 
 
 def text_log_of_files(spark: SparkSession, path: str) -> DataFrame:
     schema = spark.read.parquet(path).schema
     options = flush_limits(max_files=1)
-    return as_text_log(spark.readStream.schema(schema).options(**options).parquet(path))
+    files = spark.readStream.schema(schema).options(**options).parquet(path)
+    return as_text_log(files, log_position("parquet"))
 
 
 def typed_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,6 +208,10 @@ COPIED = " UNION ALL ".join(
     for _, name, key in inputs.COPIED_TABLES
 )
 
+LANDED_ROWS = f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation, ts_ms,
+    pipeline_id, lsn, event_id AS payload_id FROM located"""
+
 ORACLES: dict[str, str] = {
     "change_counts": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
 SELECT table_name, op, count(*) AS changes FROM located GROUP BY ALL""",
@@ -288,9 +292,13 @@ SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation,
     true AS is_timed, event_id AS payload_id FROM located""",
     "scoped_snapshot": SCOPED,
     "copied_tables": COPIED,
-    "followed_rows": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
-SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation, ts_ms,
-    pipeline_id, lsn, event_id AS payload_id FROM located""",
+    "followed_rows": LANDED_ROWS,
+    "resumed_rows": LANDED_ROWS,
+    "landed_compacted": LANDED_ROWS,
+    "landed_order": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, {inputs.SHARED_LSN} AS lsn,
+    row_number() OVER (PARTITION BY upper(table_name) ORDER BY event_id) - 1 AS number,
+    event_id AS payload_id FROM located""",
     "followed_rejects": REJECTED,
     "followed_positions": f"""WITH {CHANGES}, {TABLES}, {LOCATED}, {LOCATED_POSITIONS}
 SELECT p.pipeline_id, c.lsn AS last_lsn

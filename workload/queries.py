@@ -9,12 +9,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowharbor.functions import change_text as ct
+from rowharbor.functions.lsn import lsn_number
 from rowharbor.functions.types import type_label
-from rowharbor.operators import catalog, changes, offsets, packing, settings, snapshot
+from rowharbor.operators import catalog, changes, numbering, offsets, packing, settings, snapshot
 from rowharbor.plans.jobs import copy_table, copy_tables, follow_log, land_log
-from rowharbor.work_dir import work_dir
+from rowharbor.work_dir import remove_dir, work_dir
 from rowharbor.sources.spread import spread
-from rowharbor.sinks.dataset import read_change_table, read_landed
+from rowharbor.sinks.dataset import (
+    compact_landings,
+    read_change_table,
+    read_landed,
+    read_rejected,
+)
 from rowharbor.sinks.tables import change_table_name, insert_all
 from workload import inputs
 
@@ -380,12 +386,10 @@ def _payload_id(payload: str) -> Column:
     )
 
 
-def _followed(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
-    """A log of several files followed in as many batches: where the change tables,
+def _followed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A log of several files followed in as many batches: where the change tables with
     what was rejected and the positions are."""
-    log, root, rejects, state = (
-        work_dir(spark, f"followed-{name}") for name in ("log", "root", "rejects", "state")
-    )
+    log, root, state = (work_dir(spark, f"followed-{name}") for name in ("log", "root", "state"))
     database = f"followed_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, database)}'")
     inputs.log_in_files(spark, sf_dir, log)
@@ -396,15 +400,14 @@ def _followed(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
         "changes",
         state,
         once=True,
-        rejects=rejects,
+        rejects=True,
         offsets=f"{database}.positions",
     ).awaitTermination()
-    return root, rejects, f"{database}.positions"
+    return root, f"{database}.positions"
 
 
-def followed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, _, _ = _followed(spark, sf_dir)
-    return read_landed(spark, root).select(
+def _landed_rows(landed: DataFrame) -> DataFrame:
+    return landed.select(
         "cdc_table",
         "operation",
         "ts_ms",
@@ -414,16 +417,64 @@ def followed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def followed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _ = _followed(spark, sf_dir)
+    return _landed_rows(read_landed(spark, root))
+
+
 def followed_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, rejects, _ = _followed(spark, sf_dir)
-    return spark.read.parquet(rejects).select("event_id", "oid", "reason")
+    root, _ = _followed(spark, sf_dir)
+    return read_rejected(spark, root).select(
+        F.variant_get("record", "$.event_id", "long").alias("event_id"),
+        F.variant_get("record", "$.oid", "string").alias("oid"),
+        "reason",
+    )
 
 
 def followed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, _, positions = _followed(spark, sf_dir)
+    _, positions = _followed(spark, sf_dir)
     return offsets.current_offsets(spark, positions).select("pipeline_id", "last_lsn")
 
 
+def _follow(spark: SparkSession, log: DataFrame, root: str, state: str) -> None:
+    lookup = inputs.event_lookup(spark)
+    follow_log(log, lookup, root, "changes", state, once=True).awaitTermination()
+
+
+def resumed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log followed half way, then without its checkpoint to the end: all rows, once."""
+    log, root, state = (work_dir(spark, f"resumed-{name}") for name in ("log", "root", "state"))
+    inputs.log_in_files(spark, sf_dir, log, files=[0, 1])
+    _follow(spark, inputs.text_log_of_files(spark, log), root, state)
+    remove_dir(spark, state)
+    inputs.log_in_files(spark, sf_dir, log, files=[2])
+    _follow(spark, inputs.text_log_of_files(spark, log), root, state)
+    return _landed_rows(read_landed(spark, root))
+
+
+def landed_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of every change table in the order of the log, over several files and
+    batches; records of one transaction share their LSN."""
+    log, root, state = (work_dir(spark, f"order-{name}") for name in ("log", "root", "state"))
+    inputs.log_in_files(spark, sf_dir, log)
+    shared = inputs.text_log_of_files(spark, log).withColumn("lsn", F.expr(inputs.SHARED_LSN))
+    _follow(spark, shared, root, state)
+    rows = read_landed(spark, root).select(
+        "cdc_table", "lsn", "position", _payload_id("payload").alias("payload_id")
+    ).withColumn("lsn_number", lsn_number(F.col("lsn")))
+    ordered = numbering.consecutive(rows, ["cdc_table"], ["lsn_number", "position"])
+    return ordered.select("cdc_table", "number", "lsn", "payload_id")
+
+
+def landed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What several batches landed, read after their landings were made one."""
+    log, root, state = (work_dir(spark, f"compacted-{name}") for name in ("log", "root", "state"))
+    inputs.log_in_files(spark, sf_dir, log)
+    _follow(spark, inputs.text_log_of_files(spark, log), root, state)
+    compact_landings(spark, root)
+    return _landed_rows(read_landed(spark, root))
+
+
 def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settings.pipeline_settings(inputs.stored_settings(spark, sf_dir)).withColumn(
         "replication_id", F.col("replication_id").cast("string")
@@ -496,6 +547,9 @@ QUERIES: dict[str, Query] = {
         followed_rows,
         followed_rejects,
         followed_positions,
+        resumed_rows,
+        landed_order,
+        landed_compacted,
         config_scan,
         config_diff,
         config_removed,
