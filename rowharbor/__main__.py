@@ -66,6 +66,8 @@ def arguments() -> argparse.ArgumentParser:
             job.add_argument("--once", action="store_true")
             job.add_argument("--rejects", action="store_true", help="keep what is not landed")
             job.add_argument("--offsets", help="table of positions to keep")
+            job.add_argument("--max-rows", type=int, help="most records of a piece")
+            job.add_argument("--tables", help="database to show the change tables in")
 
     actions = jobs.add_parser("actions", help="compare two versions of the settings")
     actions.add_argument("--running", required=True)
@@ -117,6 +119,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         interval_ms=args.interval_ms,
         rejects=args.rejects,
         offsets=args.offsets,
+        most_rows=args.max_rows,
+        tables=args.tables,
     ).awaitTermination()
 
 

@@ -181,6 +181,10 @@ def _rejected(
     )
 
 
+def _simple(keep: Sequence[str]) -> list[str]:
+    return [c for c in keep if c != "position"]
+
+
 def _routed(checked: DataFrame, decoded, without_cells: Column, keep: Sequence[str], record: Sequence[str]) -> DataFrame:
     """Envelopes of the records without a reason; of the others the record itself, under
     the table ``rejected``. One reading gives both, and nothing of a rejected record is
@@ -224,7 +228,7 @@ def routed_text_changes(
     text = F.col("event_text")
     located = with_table_oid(changes).withColumn("op", ct.op_code(F.lower(text)))
     checked = _checked(
-        located, lookup, _early_text(changes), scope, ["event_text", *[c for c in keep if c != "position"]], limit_bytes
+        located, lookup, _early_text(changes), scope, ["event_text", *_simple(keep)], limit_bytes
     )
 
     def decoded(rows: DataFrame) -> DataFrame:
@@ -245,7 +249,7 @@ def routed_typed_changes(
 ) -> DataFrame:
     """As ``routed_text_changes``, of typed records."""
     located = changes.withColumn("op", kind_op(F.col("kind"))).withColumn("oid", F.col("table_oid").cast("string"))
-    salt_by = ["commit_ts", *[c for c in keep if c != "position"], F.to_json("cells")]
+    salt_by = ["commit_ts", *_simple(keep), F.to_json("cells")]
     checked = _checked(located, lookup, _early_typed(changes), scope, salt_by, limit_bytes)
     given = [F.to_json("cells").alias("cells") if c == "cells" else F.col(c) for c in changes.columns]
     return _routed(

@@ -15,8 +15,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rowharbor.functions.lsn import lsn_digits, lsn_number, lsn_small_letters, lsn_text
 from rowharbor.sinks.versions import Versions
 
-#: More than the small letters of an LSN can count.
+#: More than the small letters of an LSN can count, and than they and its digits can.
 CASES = 1 << 17
+SHAPES = CASES * 16 * 32
 
 
 def create_offsets_table(spark: SparkSession, table: str) -> None:
@@ -34,29 +35,29 @@ def create_offsets_table(spark: SparkSession, table: str) -> None:
 def latest_positions(changes: DataFrame) -> DataFrame:
     """Highest LSN of every pipeline in a batch of changes, as it was given.
 
-    The first maximum is of numbers, grouped by pipeline and the LSN's number of
-    digits: numbers are reduced by hash before the shuffle, where a maximum that
-    carries text would sort all rows. The case of the letters is part of the number. What
-    is left is a few rows per pipeline. Of equal LSNs the one with most digits counts.
+    The maximum is of one number that holds the LSN's number, then its digits before and
+    after the slash, then the case of its letters: numbers are reduced by hash before the
+    one shuffle, where a maximum that carries text would sort all rows. Of equal LSNs the
+    one with most digits counts.
     """
     lsn = F.col("lsn")
     high_digits, low_digits = lsn_digits(lsn)
-    known = lsn_number(lsn)
-    tops = (
-        changes.select(
-            "pipeline_id",
-            (known * F.lit(CASES) + lsn_small_letters(lsn)).cast("decimal(38,0)").alias("cased"),
-            high_digits.alias("high_digits"),
-            low_digits.alias("low_digits"),
-        )
-        .groupBy("pipeline_id", "high_digits", "low_digits")
-        .agg(F.max("cased").alias("cased"))
-        .withColumn("number", F.floor(F.col("cased") / F.lit(CASES)).cast("decimal(20,0)"))
-        .withColumn("small", (F.col("cased") % F.lit(CASES)).cast("long"))
+    shape = (high_digits * 16 + low_digits).cast("long") * CASES + lsn_small_letters(lsn)
+    packed = (lsn_number(lsn) * F.lit(SHAPES) + shape).cast("decimal(38,0)")
+    tops = changes.select("pipeline_id", packed.alias("packed")).groupBy("pipeline_id").agg(
+        F.max("packed").alias("packed")
+    )
+    rest = (F.col("packed") % F.lit(SHAPES)).cast("long")
+    unpacked = tops.select(
+        "pipeline_id",
+        # exact: what is divided is a multiple
+        ((F.col("packed") - rest) / F.lit(SHAPES)).cast("decimal(20,0)").alias("number"),
+        F.floor(rest / (16 * CASES)).cast("int").alias("high_digits"),
+        (F.floor(rest / CASES) % 16).cast("int").alias("low_digits"),
+        (rest % CASES).alias("small"),
     )
     text = lsn_text(F.col("number"), F.col("high_digits"), F.col("low_digits"), F.col("small"))
-    order = F.when(F.col("number").isNotNull(), F.struct("number", "high_digits", "low_digits", "small"))
-    return tops.groupBy("pipeline_id").agg(F.max_by(text, order).alias("last_lsn"))
+    return unpacked.select("pipeline_id", text.alias("last_lsn"))
 
 
 def merged_offsets(
@@ -105,16 +106,22 @@ def update_offsets(spark: SparkSession, table: str, source: DataFrame) -> None:
     _change(spark, table, lambda current: merged_offsets(current, source))
 
 
-def raise_offsets(spark: SparkSession, table: str, source: DataFrame) -> None:
-    """As ``update_offsets``, for positions that never go back: of the known and the
-    given LSN of a pipeline the higher one stays."""
+def raised_offsets(target: DataFrame, source: DataFrame) -> DataFrame:
+    """As ``merged_offsets``, but of the known and the given LSN the higher one stays."""
+    old = target.select("pipeline_id", F.col("last_lsn").alias("old_lsn"), F.col("updated_at").alias("old_at"))
+    new = source.select("pipeline_id", F.col("last_lsn").alias("new_lsn"), F.lit(True).alias("given"))
+    old_number, new_number = lsn_number(F.col("old_lsn")), lsn_number(F.col("new_lsn"))
+    higher = new_number.isNotNull() & (old_number.isNull() | (new_number > old_number))
+    return old.join(new, "pipeline_id", "full_outer").select(
+        "pipeline_id",
+        F.when(higher, F.col("new_lsn")).otherwise(F.col("old_lsn")).alias("last_lsn"),
+        F.when(F.col("given"), F.localtimestamp()).otherwise(F.col("old_at")).alias("updated_at"),
+    )
 
-    def merge(current: DataFrame) -> DataFrame:
-        known = current.join(source.select("pipeline_id"), "pipeline_id", "left_semi")
-        both = source.union(known.select("pipeline_id", "last_lsn"))
-        return merged_offsets(current, latest_positions(both.withColumnRenamed("last_lsn", "lsn")))
 
-    _change(spark, table, merge)
+def raise_offsets(spark: SparkSession, table: str, source: DataFrame) -> None:
+    """As ``update_offsets``, for positions that never go back."""
+    _change(spark, table, lambda current: raised_offsets(current, source))
 
 
 def _change(spark: SparkSession, table: str, merge: Callable[[DataFrame], DataFrame]) -> None:

@@ -20,8 +20,9 @@ from rowharbor.operators.changes import (
 from rowharbor.operators.lookup import Lookup, stored
 from rowharbor.operators.offsets import latest_positions, raise_offsets
 from rowharbor.operators.snapshot import typed_snapshot
-from rowharbor.sinks.dataset import land, landing_rows
+from rowharbor.sinks.dataset import PIECE_COLUMN, in_pieces, land, landing_rows
 from rowharbor.sinks.landings import landings
+from rowharbor.sinks.tables import register_landings
 from rowharbor.sources.change_log import numbered
 from rowharbor.sources.spread import spread
 from rowharbor.streaming.landing import (
@@ -92,9 +93,12 @@ def land_log(
     scope: Sequence[str] = (),
     compact: bool = False,
     rejects: bool = False,
+    most_rows: int | None = None,
 ) -> None:
-    """Land a text or typed change log in one batch; ``rejects`` as in ``follow_log``."""
-    land(_rows(log, lookup, scope, rejects), root, land_id, compact)
+    """Land a text or typed change log in one batch; ``rejects`` and ``most_rows`` as in
+    ``follow_log``."""
+    records = log if most_rows is None else in_pieces(log, most_rows)
+    land(_rows(records, lookup, scope, rejects), root, land_id, compact)
 
 
 def follow_log(
@@ -109,6 +113,8 @@ def follow_log(
     interval_ms: int = FLUSH_INTERVAL_MS,
     rejects: bool = False,
     offsets: str | None = None,
+    most_rows: int | None = None,
+    tables: str | None = None,
 ) -> StreamingQuery:
     """Land a streaming change log. The envelopes are built per micro-batch, as a
     batch job: it is planned adaptively, and a batch of few files is spread. How a
@@ -117,17 +123,24 @@ def follow_log(
 
     With ``rejects`` the records that are not landed are kept in the dataset too: one job
     reads every record once, decides, and writes both. With ``offsets`` (a directory) the
-    positions of what was landed are recorded, from the columns of the landing."""
+    positions of what was landed are recorded, from the columns of the landing. With
+    ``most_rows`` a micro-batch is written in pieces of at most so many records. With
+    ``tables`` (a database) the change tables are kept in the catalog too."""
     spark, checkpoint = log.sparkSession, f"{checkpoints}/{stream}"
     ledger = open_ledger(spark, stream, checkpoint, root, "position" in log.columns)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         land_id = landing_id(ledger.owner.replace("/", "-"), batch_id)
         if landings(spark, root).batches.get(ledger.owner, -1) < batch_id:
-            records = not_landed_before(spread(numbered(batch)), ledger)
+            records = numbered(batch)
+            if most_rows is not None:
+                records = in_pieces(records, most_rows)
+            records = not_landed_before(spread(records), ledger)
             land(_rows(records, lookup, scope, rejects), root, land_id, compact, ledger.owner, batch_id)
         if offsets is not None:
             record_positions(spark, landing_rows(spark, root, land_id), offsets)
+        if tables is not None:
+            register_landings(spark, root, tables)
 
     return start_writer(log, write, stream, checkpoint, once, interval_ms)
 
@@ -165,5 +178,5 @@ def _rows(log: DataFrame, lookup: Lookup, scope: Sequence[str], rejects: bool) -
         build = routed_typed_changes if typed else routed_text_changes
     else:
         build = typed_envelopes if typed else text_envelopes
-    keep = [c for c in POSITION if c in log.columns]
+    keep = [c for c in (*POSITION, PIECE_COLUMN) if c in log.columns]
     return build(log, lookup, keep=keep, scope=scope)

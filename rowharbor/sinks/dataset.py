@@ -1,11 +1,12 @@
 """All change tables as one Parquet dataset.
 
-Layout: ``<root>/land_id=<landing>/part=<part>/cdc_table=<TABLE>_CDC/*.parquet``. A
+Layout: ``<root>/land_id=<landing>/part=<part>/piece=<n>/cdc_table=<TABLE>_CDC/*.parquet``. A
 landing is one snapshot or one micro-batch. Each time it is written it gets a part of its
 own, which counts once it is committed (``landings.py``); so doing it again after a
 failure replaces its own output and nothing else, and a reader sees all of it or nothing. One job
 writes every table of a landing; no shuffle is needed, since tasks write each
-table they meet. Records that are not landed can be kept beside, as the table ``rejected``.
+table they meet. A landing bounded by rows has as many pieces as it takes, else one. Records
+that are not landed can be kept beside, as the table ``rejected``.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from rowharbor.work_dir import files_below, remove_dir
 TABLE_COLUMN = "cdc_table"
 LANDING_COLUMN = "land_id"
 PART_COLUMN = "part"
+PIECE_COLUMN = "piece"
 MAX_RECORDS_PER_FILE = 5_000_000
 #: Where rejected records are; no change table has a name without the suffix.
 REJECTED = "rejected"
@@ -33,7 +35,8 @@ LANDED = (
     "created_at TIMESTAMP_NTZ, ts_ms LONG, pipeline_id INT, lsn STRING, "
     f"position {POSITION}, {LANDING_COLUMN} STRING, {TABLE_COLUMN} STRING"
 )
-_STORED = f"{LANDED}, reason STRING, record VARIANT, {PART_COLUMN} STRING"
+_STORED = f"{LANDED}, reason STRING, record VARIANT, {PART_COLUMN} STRING, {PIECE_COLUMN} LONG"
+_OURS = ("reason", "record", PART_COLUMN, PIECE_COLUMN)
 #: Hours after which parts that do not count may go; no reader is that old.
 KEEP_HOURS = 24
 
@@ -43,7 +46,7 @@ def change_rows(envelopes: DataFrame) -> DataFrame:
     operation under the table's column names, and the time of writing. Time,
     pipeline and position of the change are kept when they are there, and so are a
     rejected record and the reason."""
-    extra = ("ts_ms", "pipeline_id", "lsn", "position", "reason", "record")
+    extra = ("ts_ms", "pipeline_id", "lsn", "position", "reason", "record", PIECE_COLUMN)
     return envelopes.select(
         TABLE_COLUMN,
         F.col("schema").alias("schema_database"),
@@ -54,10 +57,28 @@ def change_rows(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def _write(rows: DataFrame, root: str, land_id: str, part: str, by: Iterable[str] = ()) -> None:
+def in_pieces(records: DataFrame, most_rows: int) -> DataFrame:
+    """Records with the piece they belong to, of ``most_rows`` records each and the last
+    of what is left, in the order they are read. The partitions are counted first (of
+    Parquet, from the files' footers). For records as they are read."""
+    inside = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    counts = records.groupBy(F.spark_partition_id().alias("_task")).count().collect()  # one row a task
+    starts, total = [], 0
+    for task, n in sorted(tuple(r) for r in counts):
+        starts.append((task, total))
+        total += n
+    table = records.sparkSession.createDataFrame(starts, "_task INT, _start LONG")
+    numbered = records.withColumn("_task", F.spark_partition_id()).withColumn("_inside", inside)
+    piece = F.floor((F.col("_start") + F.col("_inside")) / F.lit(most_rows)).alias(PIECE_COLUMN)
+    return numbered.join(F.broadcast(table), "_task").select(*records.columns, piece)
+
+
+def _write(rows: DataFrame, root: str, land_id: str, part: str) -> None:
+    if PIECE_COLUMN not in rows.columns:
+        rows = rows.withColumn(PIECE_COLUMN, F.lit(0).cast("long"))
     (
         rows.write.option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(*by, TABLE_COLUMN)
+        .partitionBy(PIECE_COLUMN, TABLE_COLUMN)
         .parquet(f"{root}/{LANDING_COLUMN}={land_id}/{PART_COLUMN}={part}")
     )
 
@@ -79,7 +100,9 @@ def land(
     holds most rows is still written by many tasks.
     """
     rows = change_rows(envelopes)
-    if compact:
+    if PIECE_COLUMN in rows.columns:  # a piece is bounded, so a task can write it
+        rows = rows.hint("rebalance", F.col(PIECE_COLUMN))
+    elif compact:
         rows = rows.hint("rebalance", F.col(TABLE_COLUMN))
     part = uuid.uuid4().hex[:12]
     _write(rows, root, land_id, part)
@@ -100,7 +123,7 @@ def read_landed(spark: SparkSession, root: str, at: Landings | None = None) -> D
     """Rows of all change tables; a filter on ``cdc_table`` prunes directories. What is
     landed later, or compacted, does not show: the version is that of the call."""
     stored = read_stored(spark, root, at)
-    return stored.filter(F.col(TABLE_COLUMN) != REJECTED).drop("reason", "record", PART_COLUMN)
+    return stored.filter(F.col(TABLE_COLUMN) != REJECTED).drop(*_OURS)
 
 
 def landing_rows(spark: SparkSession, root: str, land_id: str) -> DataFrame:
@@ -125,11 +148,11 @@ def read_change_table(spark: SparkSession, root: str, table_name: str) -> DataFr
     if re.fullmatch("[A-Za-z0-9_]+", table_name):
         now = landings(spark, root)
         directory = f"{TABLE_COLUMN}={table_name.upper()}_CDC"
-        path = f"{root}/{LANDING_COLUMN}=*/{PART_COLUMN}=*/{directory}"
+        path = f"{root}/{LANDING_COLUMN}=*/{PART_COLUMN}=*/{PIECE_COLUMN}=*/{directory}"
         try:
             found = spark.read.schema(_STORED).option("basePath", root).parquet(path)
             counts = F.col(PART_COLUMN).isin(list(now.parts.values()))
-            return found.filter(own & counts).drop("reason", "record", PART_COLUMN)
+            return found.filter(own & counts).drop(*_OURS)
         except AnalysisException:  # no landing has the table
             pass
     return read_landed(spark, root).filter(own)
@@ -155,7 +178,7 @@ def compact_landings(
     if len(gone) < 2:
         return None
     few = Landings(now.version, {i: now.parts[i] for i in gone})
-    rows = read_stored(spark, root, few).drop(LANDING_COLUMN, PART_COLUMN)
+    rows = read_stored(spark, root, few).drop(LANDING_COLUMN, PART_COLUMN, PIECE_COLUMN)
     rows = rows.hint("rebalance", F.col(TABLE_COLUMN)).sortWithinPartitions(TABLE_COLUMN, "position")
     land_id, part = name or f"compacted-{uuid.uuid4().hex[:12]}", uuid.uuid4().hex[:12]
     _write(rows, root, land_id, part)

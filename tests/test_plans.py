@@ -78,7 +78,7 @@ def test_a_hot_table_is_spread_over_the_salts(spark, logs):
 
 def test_positions_are_reduced_before_the_shuffle(spark, logs):
     text = plan(offsets.latest_positions(logs))
-    first = text.index("partial_max(number")
+    first = text.index("partial_max(packed")
     assert "HashAggregate" in text[:first].splitlines()[-1] and exchanges(text)[1] == 0
     assert "event_text" not in text[text.index("ReadSchema") :]
 

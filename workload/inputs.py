@@ -20,6 +20,7 @@ PUBLICATION = "pub_o"
 ORDERS_OID = "20001"
 DOCUMENTS_OID = "20002"
 LOG_FILES = 3
+FLUSH_ROWS = 500
 UPDATED_AT = "2024-06-01 00:00:00"
 
 # Tables the change text points at; 16388 is not mapped at all.

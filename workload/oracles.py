@@ -212,6 +212,13 @@ LANDED_ROWS = f"""WITH {CHANGES}, {TABLES}, {LOCATED}
 SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation, ts_ms,
     pipeline_id, lsn, event_id AS payload_id FROM located"""
 
+IN_CATALOG = f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation,
+    true AS is_timed, event_id AS payload_id FROM located"""
+IN_BOUNDS = f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, true AS in_bounds,
+    op AS operation, event_id AS payload_id FROM located"""
+
 ORACLES: dict[str, str] = {
     "change_counts": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
 SELECT table_name, op, count(*) AS changes FROM located GROUP BY ALL""",
@@ -279,17 +286,15 @@ SELECT doc_id, 'DOCUMENTS_CDC' AS cdc_table, key, value, stored_as FROM cells"""
     "batch_flatten": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
 SELECT concat(upper(table_name), '_CDC') AS cdc_table, event_id // 500 AS batch,
     op AS operation, table_name AS schema_name, event_id AS payload_id FROM located""",
-    "batch_bounds": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
-SELECT concat(upper(table_name), '_CDC') AS cdc_table, true AS in_bounds,
-    op AS operation, event_id AS payload_id FROM located""",
+    "batch_bounds": IN_BOUNDS,
     "landed_counts": COUNTED,
     "landed_stream": COUNTED,
     "landed_table": f"""WITH {TABLES}, {TYPED_LOCATED}
 SELECT event_id, value, op AS operation, ts_ms, pipeline_id, lsn FROM located
 WHERE table_name = 'users'""",
-    "landed_catalog_tables": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
-SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation,
-    true AS is_timed, event_id AS payload_id FROM located""",
+    "landed_catalog_tables": IN_CATALOG,
+    "followed_catalog_tables": IN_CATALOG,
+    "bounded_landings": IN_BOUNDS,
     "scoped_snapshot": SCOPED,
     "copied_tables": COPIED,
     "followed_rows": LANDED_ROWS,

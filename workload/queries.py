@@ -12,16 +12,19 @@ from rowharbor.functions import change_text as ct
 from rowharbor.functions.lsn import lsn_number
 from rowharbor.functions.types import type_label
 from rowharbor.operators import catalog, changes, numbering, offsets, packing, settings, snapshot
+from rowharbor.operators.lookup import stored
 from rowharbor.plans.jobs import copy_table, copy_tables, follow_log, land_log
 from rowharbor.work_dir import remove_dir, work_dir
 from rowharbor.sources.spread import spread
 from rowharbor.sinks.dataset import (
+    REJECTED,
     compact_landings,
     read_change_table,
     read_landed,
     read_rejected,
+    read_stored,
 )
-from rowharbor.sinks.tables import change_table_name, insert_all
+from rowharbor.sinks.tables import insert_all
 from workload import inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -363,20 +366,7 @@ def landed_catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     database = f"landed_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, database)}'")
     insert_all(_text_envelopes(spark, sf_dir), None, "changes", database)
-    tables = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()]
-    names = [t.upper().removesuffix("_CDC") for t in tables]
-    rows = [
-        spark.table(change_table_name(name, database)).withColumn(
-            "cdc_table", F.lit(f"{name}_CDC")
-        )
-        for name in names
-    ]
-    return functools.reduce(DataFrame.unionByName, rows).select(
-        "cdc_table",
-        F.col("OPERATION").alias("operation"),
-        F.col("CREATED_AT").isNotNull().alias("is_timed"),
-        _payload_id("PAYLOAD").alias("payload_id"),
-    )
+    return _catalog_rows(spark, database)
 
 
 def _payload_id(payload: str) -> Column:
@@ -393,16 +383,8 @@ def _followed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     database = f"followed_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, database)}'")
     inputs.log_in_files(spark, sf_dir, log)
-    follow_log(
-        inputs.text_log_of_files(spark, log),
-        inputs.event_lookup(spark),
-        root,
-        "changes",
-        state,
-        once=True,
-        rejects=True,
-        offsets=f"{database}.positions",
-    ).awaitTermination()
+    files = inputs.text_log_of_files(spark, log)
+    _follow(spark, files, root, state, rejects=True, offsets=f"{database}.positions")
     return root, f"{database}.positions"
 
 
@@ -436,9 +418,9 @@ def followed_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets.current_offsets(spark, positions).select("pipeline_id", "last_lsn")
 
 
-def _follow(spark: SparkSession, log: DataFrame, root: str, state: str) -> None:
-    lookup = inputs.event_lookup(spark)
-    follow_log(log, lookup, root, "changes", state, once=True).awaitTermination()
+def _follow(spark: SparkSession, log: DataFrame, root: str, state: str, **options) -> None:
+    lookup = stored(inputs.event_lookup(spark).df, work_dir(spark, "lookup"))
+    follow_log(log, lookup, root, "changes", state, once=True, **options).awaitTermination()
 
 
 def resumed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -475,6 +457,56 @@ def landed_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _landed_rows(read_landed(spark, root))
 
 
+def bounded_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What batches larger than a flush land, and whether each piece held at most so many
+    records, rejected ones included, and all but the last of a batch exactly so many."""
+    log, root, state = (work_dir(spark, f"bounded-{name}") for name in ("log", "root", "state"))
+    inputs.log_in_files(spark, sf_dir, log)
+    files = inputs.text_log_of_files(spark, log)
+    _follow(spark, files, root, state, rejects=True, most_rows=inputs.FLUSH_ROWS)
+    stored = read_stored(spark, root)
+    sizes = stored.groupBy("land_id", "piece").count()
+    last = sizes.groupBy("land_id").agg(F.max("piece").alias("last"))
+    exact = sizes.join(last, "land_id").select(
+        "land_id",
+        "piece",
+        (
+            (F.col("count") == inputs.FLUSH_ROWS)
+            | ((F.col("piece") == F.col("last")) & (F.col("count") < inputs.FLUSH_ROWS))
+        ).alias("in_bounds"),
+    )
+    landed = stored.where(F.col("cdc_table") != REJECTED).join(exact, ["land_id", "piece"])
+    return landed.select("cdc_table", "in_bounds", "operation", _payload_id("payload").alias("payload_id"))
+
+
+def followed_catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog's change tables after a followed log and a compaction."""
+    log, root, state = (work_dir(spark, f"tables-{name}") for name in ("log", "root", "state"))
+    database = f"shown_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, database)}'")
+    inputs.log_in_files(spark, sf_dir, log, files=[0, 1])
+    _follow(spark, inputs.text_log_of_files(spark, log), root, state, tables=database)
+    compact_landings(spark, root)
+    inputs.log_in_files(spark, sf_dir, log, files=[2])
+    _follow(spark, inputs.text_log_of_files(spark, log), root, state, tables=database)
+    return _catalog_rows(spark, database)
+
+
+def _catalog_rows(spark: SparkSession, database: str) -> DataFrame:
+    tables = [r.tableName.upper() for r in spark.sql(f"SHOW TABLES IN {database}").collect()]
+    rows = [
+        spark.table(f"`{database}`.`{name}`").withColumn("cdc_table", F.lit(name))
+        for name in tables
+        if name.endswith("_CDC")
+    ]
+    return functools.reduce(DataFrame.unionByName, rows).select(
+        "cdc_table",
+        F.col("OPERATION").alias("operation"),
+        F.col("CREATED_AT").isNotNull().alias("is_timed"),
+        _payload_id("PAYLOAD").alias("payload_id"),
+    )
+
+
 def config_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settings.pipeline_settings(inputs.stored_settings(spark, sf_dir)).withColumn(
         "replication_id", F.col("replication_id").cast("string")
@@ -550,6 +582,8 @@ QUERIES: dict[str, Query] = {
         resumed_rows,
         landed_order,
         landed_compacted,
+        bounded_landings,
+        followed_catalog_tables,
         config_scan,
         config_diff,
         config_removed,
