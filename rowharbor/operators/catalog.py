@@ -19,7 +19,7 @@ def catalog_columns(
     publication: str,
 ) -> DataFrame:
     """Live columns of the tables of one publication: oid (text), relname,
-    attnum, attname, typname. System and dropped columns are left out."""
+    attnum, attname, typname, nspname. System and dropped columns are left out."""
     published = pg_publication_tables.filter(F.col("pubname") == publication)
     classes = pg_class.select("oid", "relname", "relnamespace")
     namespaces = pg_namespace.select(F.col("oid").alias("nsp_oid"), "nspname")
@@ -42,6 +42,7 @@ def catalog_columns(
             "attnum",
             "attname",
             "typname",
+            "nspname",
         )
     )
 
@@ -52,12 +53,13 @@ def order_catalog(columns: DataFrame) -> DataFrame:
 
 
 def table_columns(columns: DataFrame, keys: Sequence[str] = ("oid",)) -> DataFrame:
-    """One row per table: its name and its columns in column order. A table has
-    at most some 1600 columns, so the lists are bounded."""
+    """One row per table: its name, its columns in column order and, if the columns have
+    it, its schema. A table has at most some 1600 columns, so the lists are bounded."""
+    spaced = [F.max("nspname").alias("schema_name")] if "nspname" in columns.columns else []
     ordered = F.array_sort(F.collect_list(F.struct("attnum", "attname", "typname")))
     return (
         columns.groupBy(*keys)
-        .agg(F.max("relname").alias("table_name"), ordered.alias("ordered"))
+        .agg(F.max("relname").alias("table_name"), ordered.alias("ordered"), *spaced)
         .withColumn(
             "columns",
             F.transform(

@@ -9,7 +9,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rowharbor.operators.numbering import consecutive, with_running
+
 BATCH_ROWS = 500
+BATCH_BYTES = 1 << 20
 
 
 def _envelope() -> Column:
@@ -72,6 +75,45 @@ def bounded_batches(
     )
 
 
+def measured_batches(
+    envelopes: DataFrame, order: Sequence[str], batch_rows: int = BATCH_ROWS, batch_bytes: int = BATCH_BYTES
+) -> DataFrame:
+    """One JSON array of envelopes per table and batch, in ``order``, of at most
+    ``batch_rows`` rows and ``batch_bytes`` bytes of text; batches are numbered from 0
+    in every table, without gaps. An envelope longer than that has a batch of its own.
+
+    Cuts come from running sums over rows sorted by range, so no task holds a table: after
+    every ``batch_rows`` rows, after every half of the bytes, and on either side of rows
+    longer than that half. What lies between two cuts is within both bounds.
+    """
+    half = (int(batch_bytes) - 2) // 2  # two brackets; a comma goes with each text
+    size = F.octet_length("text") + 1
+    texts = envelopes.select("cdc_table", *order, _envelope().alias("text")).withColumn("tie", F.xxhash64("text"))
+    sized = texts.withColumn("size", size.cast("long")).withColumn("long", F.col("size") > half)
+    sums = {
+        "rows_before": F.lit(1).cast("long"),
+        "bytes_before": F.when(F.col("long"), 0).otherwise(F.col("size")).cast("long"),
+        "long_before": F.col("long").cast("long"),
+    }
+    running = with_running(sized, ["cdc_table"], [*order, "tie"], sums)
+    cut = [
+        (F.col("long_before") * 2 + F.col("long").cast("long")).alias("by_long"),
+        F.expr(f"bytes_before div {half}").alias("by_bytes"),
+        F.expr(f"rows_before div {int(batch_rows)}").alias("by_rows"),
+    ]
+    keys = ["cdc_table", "by_long", "by_bytes", "by_rows"]
+    rows = running.select("*", *cut)
+    first = rows.groupBy(*keys).agg(F.min("rows_before").alias("first")).drop("by_long", "by_bytes", "by_rows")
+    numbers = consecutive(first, ["cdc_table"], ["first"], "batch")
+    listed = F.collect_list(F.struct(F.col("rows_before").alias("at"), "tie", "text"))
+    batches = rows.groupBy(*keys).agg(
+        F.min("rows_before").alias("first"), F.count("*").alias("n_rows"), _batch_json(listed).alias("batch_json")
+    )
+    return batches.join(numbers, ["cdc_table", "first"]).select(
+        "cdc_table", "batch", "n_rows", F.octet_length("batch_json").alias("n_bytes"), "batch_json"
+    )
+
+
 def flattened_batches(
     batches: DataFrame, keep: Sequence[str] = ("cdc_table",)
 ) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from rowharbor.sinks.versions import Versions
+
 # The settings a pipeline is defined by, and unsigned ranges.
 SETTINGS_TABLE = "tblsetting_etl_source"
 SETTINGS = (
@@ -87,3 +91,49 @@ def pipeline_actions(running: DataFrame, desired: DataFrame) -> DataFrame:
         .otherwise(F.lit(RESTART))
     )
     return old.join(new, "id", "full_outer").select("id", action.alias("action"))
+
+
+def running_after(running: DataFrame, desired: DataFrame, actions: DataFrame) -> DataFrame:
+    """What runs once ``actions`` (id, action) were taken: started and restarted pipelines
+    with the desired settings, the others as before; an action that is not among them
+    was not taken."""
+    taken = actions.select(F.col("id").alias("acted"), "action")
+    old = running.select("id", F.struct(*SETTINGS).alias("old"))
+    new = desired.select("id", F.struct(*SETTINGS).alias("new"))
+    both = old.join(new, "id", "full_outer").join(taken, F.col("id") == F.col("acted"), "left")
+    now = (
+        F.when(F.col("action").isin(START, RESTART), F.col("new"))
+        .when(F.col("action") == STOP, F.lit(None))
+        .otherwise(F.col("old"))
+    )
+    return both.select(now.alias("now")).where("now IS NOT NULL").select("now.*")
+
+
+class RunningSet:
+    """The settings that pipelines were started with, kept in a directory from poll to
+    poll. What a version asks for is said against these, not against the version before:
+    an action that was not taken is asked for again."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.versions = Versions(spark, f"{path}/versions")
+
+    def running(self) -> DataFrame | None:
+        """What runs as of the last poll; None before the first."""
+        newest = self.versions.newest()
+        return None if newest is None else self.spark.read.parquet(f"{self.path}/{newest[1]}")
+
+    def poll(self, desired: DataFrame) -> DataFrame:
+        """The actions that the settings ask for now."""
+        running = self.running()
+        return pipeline_actions(desired.limit(0) if running is None else running, desired)
+
+    def took(self, desired: DataFrame, actions: DataFrame) -> None:
+        """Note the actions of a poll that were taken."""
+        newest = self.versions.newest()
+        number = 0 if newest is None else newest[0] + 1
+        running = desired.limit(0) if newest is None else self.running()
+        name = f"running-{uuid.uuid4().hex}"
+        running_after(running, desired, actions).write.parquet(f"{self.path}/{name}")
+        if not self.versions.publish(number, name):
+            raise ValueError(f"{self.path} is polled by another")

@@ -87,7 +87,7 @@ def typed_snapshot(
 ) -> DataFrame:
     """Envelopes of one table's rows read with their types. The columns that are
     neither ``read_ts`` nor in ``keep`` are the table's. Of the lookup only this
-    table's single row is broadcast. ``scope`` names the table's database in a
+    table's single row is read, at once. ``scope`` names the table's database in a
     lookup of several (``{"pipeline_id": 1}``) and is kept with the rows; more
     than one row for the table is an error."""
     scope = scope or {}
@@ -96,25 +96,21 @@ def typed_snapshot(
     own = F.col("oid") == oid
     for column, value in scope.items():
         own &= F.col(column) == value
-    table = lookup.df.filter(own).select(
-        "table_name", "schema", F.lit(oid).alias("oid")
-    )
-    if table.limit(2).count() > 1:
+    found = lookup.df.filter(own).select("table_name", F.to_json("schema").alias("schema")).head(2)
+    if len(found) > 1:
         raise ValueError(f"the lookup has several tables {oid}; say which by scope")
+    # one row, so its values stand in the plan: nothing is joined
+    known = bool(found and found[0]["schema"] is not None)
+    name = found[0]["table_name"] if found and found[0]["table_name"] is not None else oid
+    schema = F.parse_json(F.lit(found[0]["schema"])) if known else snapshot_schema_without_columns()
+    payload = F.to_variant_object(row) if known else data_payload(F.to_json(row))
     at = epoch_millis(F.col(read_ts) if read_ts else None)
-    packed = rows.select(
-        row.alias("cells"), at.alias("ts_ms"), F.lit(oid).alias("oid"), *keep
-    )
-    payload = F.when(
-        F.col("schema").isNotNull(), F.to_variant_object(F.col("cells"))
-    ).otherwise(data_payload(F.to_json("cells")))
-    name = F.coalesce(F.col("table_name"), F.col("oid"))
-    return packed.join(F.broadcast(table), "oid", "left").select(
-        change_table(name).alias("cdc_table"),
-        F.coalesce(F.col("schema"), snapshot_schema_without_columns()).alias("schema"),
+    return rows.select(
+        change_table(F.lit(name)).alias("cdc_table"),
+        schema.alias("schema"),
         payload.alias("payload"),
         F.lit(SNAPSHOT_OP).alias("op"),
-        "ts_ms",
+        at.alias("ts_ms"),
         *keep,
         *[F.lit(value).alias(column) for column, value in scope.items()],
     )

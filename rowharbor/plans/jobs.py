@@ -23,6 +23,7 @@ from rowharbor.operators.snapshot import typed_snapshot
 from rowharbor.sinks.dataset import PIECE_COLUMN, in_pieces, land, landing_rows
 from rowharbor.sinks.landings import landings
 from rowharbor.sinks.tables import register_landings
+from rowharbor.sinks.versions import Versions
 from rowharbor.sources.change_log import numbered
 from rowharbor.sources.spread import spread
 from rowharbor.streaming.landing import (
@@ -36,6 +37,8 @@ from rowharbor.streaming.landing import (
 
 POSITION = ("pipeline_id", "lsn", "position")
 TABLES_AT_ONCE = 4
+#: Of the quantile sketch: a slice is off by one row in so many.
+SLICE_ACCURACY = 100_000
 
 
 def prepare_lookup(
@@ -58,6 +61,50 @@ def copy_table(
     land(typed_snapshot(rows, lookup, oid, scope=scope), root, land_id)
 
 
+def copy_slices(
+    rows: DataFrame,
+    lookup: Lookup,
+    oid: str,
+    root: str,
+    name: str,
+    key: str,
+    slices: int,
+    scope: Mapping[str, int | str] | None = None,
+) -> int:
+    """Land the initial copy of one table in slices of near equal rows, each a landing of
+    its own. Bounds of ``key`` (a number, date or timestamp) come from a quantile sketch
+    that all tasks build together; they are kept beside the dataset, so that the job done
+    again skips the slices that are landed, also if rows were added meanwhile or landings
+    were compacted. Nulls are in the first slice; equal keys share one. A filter on the
+    key is pushed down, into a database too. Returns the number of slices landed now."""
+    spark = rows.sparkSession
+    kept = Versions(spark, f"{root}/_copies/{name}-{oid}")
+    kind = rows.schema[key].dataType.simpleString()
+    if kept.newest() is None:
+        shares = [F.lit(i / slices) for i in range(1, slices)]
+        found = rows.agg(F.percentile_approx(key, F.array(*shares), SLICE_ACCURACY).cast("array<string>")).first()[0]
+        kept.publish(0, sorted(set(found or ()), key=found.index) if found else [])
+    bounds = [F.lit(b).cast(kind) for b in kept.newest()[1]]
+    owner, at = f"copy/{name}-{oid}", F.col(key)
+    done, landed = landings(spark, root).batches.get(owner, -1), 0
+    for i, (low, high) in enumerate(zip([None, *bounds], [*bounds, None], strict=True)):
+        if i <= done:
+            continue
+        below = F.lit(True) if high is None else at < high
+        own = below if low is None else (at >= low) & below
+        part = rows.where(own | at.isNull() if low is None else own)
+        envelopes = typed_snapshot(part, lookup, oid, scope=scope)
+        land(envelopes, root, f"{name}-{oid}-{i:06d}", owner=owner, batch=i)
+        landed += 1
+    return landed
+
+
+def qualified(schema_name: str | None, table_name: str) -> str:
+    """Name of a table in its database; bare if its schema is not known."""
+    quoted = lambda word: '"' + word.replace('"', '""') + '"'
+    return table_name if schema_name is None else f"{quoted(schema_name)}.{quoted(table_name)}"
+
+
 def copy_tables(
     read: Callable[[str], DataFrame],
     lookup: Lookup,
@@ -65,23 +112,30 @@ def copy_tables(
     name: str,
     scope: Mapping[str, int | str] | None = None,
     at_once: int = TABLES_AT_ONCE,
+    slices: Mapping[str, tuple[str, int]] | None = None,
 ) -> list[str]:
     """Land the initial copy of every table of a catalog; ``read`` gives a table's
-    rows by its name. A table's landing is named after ``name`` and its id, so the
-    job done again replaces its landings. ``at_once`` tables are copied side by
-    side; when some fail, the others are still copied and the first error is raised.
-    Returns the ids. Only ids and names reach the driver."""
+    rows by its name, with its schema if the lookup has it. A table's landing is named
+    after ``name`` and its id, so the job done again replaces its landings; tables in
+    ``slices`` (id to key and number, as in ``copy_slices``) go on instead. ``at_once``
+    tables are copied side by side; when some fail, the others are still copied and the
+    first error is raised. Returns the ids. Only ids and names reach the driver."""
     tables = lookup.df
     for column, value in (scope or {}).items():
         tables = tables.filter(F.col(column) == value)
-    found = sorted((r["oid"], r["table_name"]) for r in tables.select("oid", "table_name").collect())
+    schema_name = F.col("schema_name") if "schema_name" in tables.columns else F.lit(None).cast("string")
+    found = tables.select("oid", "table_name", schema_name.alias("schema_name")).collect()
+    named = sorted((r["oid"], qualified(r["schema_name"], r["table_name"])) for r in found)
 
     def copy(oid: str, table_name: str) -> str:
-        copy_table(read(table_name), lookup, oid, root, f"{name}-{oid}", scope)
+        if oid in (slices or {}):
+            copy_slices(read(table_name), lookup, oid, root, name, *slices[oid], scope=scope)
+        else:
+            copy_table(read(table_name), lookup, oid, root, f"{name}-{oid}", scope)
         return oid
 
     with ThreadPoolExecutor(at_once) as pool:
-        copies = [pool.submit(copy, *table) for table in found]
+        copies = [pool.submit(copy, *table) for table in named]
     return [done.result() for done in copies]
 
 

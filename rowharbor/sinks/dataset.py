@@ -17,8 +17,10 @@ from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from rowharbor.sinks.landings import Landings, commit, landings
+from rowharbor.sinks.versions import Versions
 from rowharbor.work_dir import files_below, remove_dir
 
 TABLE_COLUMN = "cdc_table"
@@ -211,15 +213,47 @@ def with_variant_schema(old: DataFrame) -> DataFrame:
     )
 
 
-def migrate_schema_column(spark: SparkSession, old_root: str, new_root: str) -> None:
-    """Copy a dataset with a text schema column to ``new_root`` with a variant
-    one. The old data stays as it is."""
-    old = spark.read.parquet(old_root)
-    by = [c for c in (LANDING_COLUMN, TABLE_COLUMN) if c in old.columns]
-    (
-        with_variant_schema(old)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(*by)
-        .parquet(new_root)
-    )
+def _text_landings(spark: SparkSession, old_root: str) -> list[str]:
+    found = files_below(spark, f"{old_root}/{LANDING_COLUMN}=*")
+    return sorted(path.rsplit(f"{LANDING_COLUMN}=", 1)[1] for path, _ in found)
+
+
+def _text_landing(spark: SparkSession, old_root: str, land_id: str) -> DataFrame:
+    """Rows of a landing whose schema column is text, as they are landed now."""
+    old = with_variant_schema(spark.read.parquet(f"{old_root}/{LANDING_COLUMN}={land_id}"))
+    fields = StructType.fromDDL(_STORED).fields
+    have = [F.col(f.name) if f.name in old.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    return old.select(*have).withColumn(LANDING_COLUMN, F.lit(land_id)).withColumn(PIECE_COLUMN, F.lit(0).cast("long"))
+
+
+def _migrated(spark: SparkSession, new_root: str) -> set[str]:
+    """Landings that were copied, also those compacted since."""
+    noted = Versions(spark, f"{new_root}/_migrated")
+    return {noted.read(n) for n in noted.numbers()} | set(landings(spark, new_root).parts)
+
+
+def migrate_schema_column(spark: SparkSession, old_root: str, new_root: str, most: int | None = None) -> list[str]:
+    """Copy the landings of a dataset with a text schema column
+    (``land_id=<landing>/cdc_table=<table>``) to ``new_root`` with a variant one, landing by
+    landing: what was copied before is skipped, so the job can stop (after ``most``
+    landings) and go on. The old data stays as it is, and ``read_migrating`` shows all rows
+    meanwhile. One such job at a time. Returns the landings copied now."""
+    noted, copied = Versions(spark, f"{new_root}/_migrated"), []
+    done = _migrated(spark, new_root)
+    for land_id in [i for i in _text_landings(spark, old_root) if i not in done][:most]:
+        part = uuid.uuid4().hex[:12]
+        rows = _text_landing(spark, old_root, land_id).drop(LANDING_COLUMN, PART_COLUMN)
+        _write(rows, new_root, land_id, part)
+        commit(spark, new_root, {land_id: part}, f"migration/{old_root}")
+        noted.publish(len(noted.numbers()), land_id)
+        copied.append(land_id)
+    return copied
+
+
+def read_migrating(spark: SparkSession, old_root: str, new_root: str) -> DataFrame:
+    """Rows of both datasets while one is copied to the other, each landing once."""
+    done = _migrated(spark, new_root)
+    rows = read_landed(spark, new_root)
+    for land_id in [i for i in _text_landings(spark, old_root) if i not in done]:
+        rows = rows.unionByName(_text_landing(spark, old_root, land_id).select(*rows.columns))
+    return rows

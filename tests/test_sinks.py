@@ -71,13 +71,16 @@ def test_text_schema_column_becomes_a_variant(spark, tmp_path):
     ).withColumn("payload", F.parse_json(F.lit("{}"))).withColumn(
         "land_id", F.lit("x")
     ).write.partitionBy("land_id", "cdc_table").parquet(old)
-    dataset.migrate_schema_column(spark, old, new)
-    got = spark.read.parquet(new).select("cdc_table", F.to_json("schema_database"))
-    assert {tuple(r) for r in got.collect()} == {
-        ("A_CDC", '{"name":"users"}'),
-        ("A_CDC", '"not json"'),
-        ("B_CDC", None),
-    }
+    want = {("A_CDC", '{"name":"users"}'), ("A_CDC", '"not json"'), ("B_CDC", None)}
+
+    def rows(df):
+        return {tuple(r) for r in df.select("cdc_table", F.to_json("schema_database")).collect()}
+
+    assert rows(dataset.read_migrating(spark, old, new)) == want
+    assert dataset.migrate_schema_column(spark, old, new) == ["x"]
+    assert dataset.migrate_schema_column(spark, old, new) == []
+    assert rows(dataset.read_landed(spark, new)) == want
+    assert rows(dataset.read_migrating(spark, old, new)) == want
     assert spark.read.parquet(old).schema["schema_database"].dataType.typeName() == "string"
 
 

@@ -19,8 +19,11 @@ from rowharbor.streaming.landing import flush_limits
 PUBLICATION = "pub_o"
 ORDERS_OID = "20001"
 DOCUMENTS_OID = "20002"
+VECTORS_OID = "20003"
 LOG_FILES = 3
 FLUSH_ROWS = 500
+BATCH_BYTES = 65536
+SLICES = 6
 UPDATED_AT = "2024-06-01 00:00:00"
 
 # Tables the change text points at; 16388 is not mapped at all.
@@ -40,6 +43,7 @@ ORDER_COLUMNS = [
     ("o_orderpriority", "text"),
 ]
 DOCUMENT_COLUMNS = [("doc_id", "int8"), ("lang", "text"), ("text", "text")]
+VECTOR_COLUMNS = [("vec_id", "int8"), ("embedding", "_float4"), ("label", "int4"), ("raw", "bytea")]
 TABLES = [
     ("16384", "users", EVENT_COLUMNS),
     ("16385", "orders", EVENT_COLUMNS[:3]),
@@ -47,6 +51,7 @@ TABLES = [
     ("16387", "unknown_table", None),
     (ORDERS_OID, "orders", ORDER_COLUMNS),
     (DOCUMENTS_OID, "documents", DOCUMENT_COLUMNS),
+    (VECTORS_OID, "embeddings", VECTOR_COLUMNS),
 ]
 
 SCOPED_TABLES = [(1, "orders"), (2, "sales")]
@@ -287,6 +292,31 @@ def stored_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").selectExpr(*SETTINGS_FROM_SUPPLIER)
 
 
+#: Versions of the settings: which suppliers have a pipeline, and their database.
+SETTINGS_VERSIONS = [
+    ("s_acctbal >= 0", "concat('db', CAST(s_nationkey AS string))"),
+    (
+        "s_nationkey <> 3",
+        "concat('db', CAST(s_nationkey AS string), CASE WHEN s_suppkey % 4 = 0 THEN '_v2' ELSE '' END)",
+    ),
+    (
+        "s_suppkey % 7 <> 0",
+        "concat('db', CAST(s_nationkey AS string), CASE WHEN s_suppkey % 6 = 0 THEN '_v3' ELSE '' END)",
+    ),
+]
+#: Actions of the second poll that are not taken.
+NOT_TAKEN = "id % 5 = 0"
+
+
+def settings_versions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    suppliers = table(spark, sf_dir, "supplier")
+    others = [c for c in SETTINGS_FROM_SUPPLIER if not c.endswith("AS dbname")]
+    return [
+        suppliers.where(rows).selectExpr(*others, f"{dbname} AS dbname")
+        for rows, dbname in SETTINGS_VERSIONS
+    ]
+
+
 def settings_of_customers(customers: DataFrame, dbname: str) -> DataFrame:
     return customers.selectExpr(
         "CAST(c_custkey AS int) AS id",

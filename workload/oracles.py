@@ -139,7 +139,7 @@ columns AS (SELECT CAST(o.o_orderkey AS VARCHAR) AS oid,
         l.l_linenumber - 1 AS attnum,
         concat('c', CAST(l_linenumber AS VARCHAR), '_', CAST(l_suppkey AS VARCHAR))
             AS attname,
-        typname
+        typname, concat('s', CAST(o.o_custkey AS VARCHAR)) AS nspname
     FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
     JOIN lineitem l ON l.l_orderkey = o.o_orderkey
     JOIN part_types ON p_partkey = l_partkey
@@ -219,6 +219,19 @@ IN_BOUNDS = f"""WITH {CHANGES}, {TABLES}, {LOCATED}
 SELECT concat(upper(table_name), '_CDC') AS cdc_table, true AS in_bounds,
     op AS operation, event_id AS payload_id FROM located"""
 
+POLLED = ", ".join(
+    f"v{n} AS (SELECT CAST(s_suppkey AS INTEGER) AS id, {dbname} AS dbname FROM supplier WHERE {rows})"
+    for n, (rows, dbname) in enumerate(inputs.SETTINGS_VERSIONS, 1)
+) + f""", running AS (SELECT * FROM v2 WHERE NOT ({inputs.NOT_TAKEN})
+    UNION ALL SELECT * FROM v1 WHERE {inputs.NOT_TAKEN})"""
+
+
+def _action(old: str, new: str) -> str:
+    return f"""coalesce(o.id, n.id), CASE WHEN o.id IS NULL THEN 'start' WHEN n.id IS NULL THEN 'stop'
+    WHEN o.dbname = n.dbname THEN 'keep' ELSE 'restart' END
+    FROM {old} o FULL JOIN {new} n ON o.id = n.id"""
+
+
 ORACLES: dict[str, str] = {
     "change_counts": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
 SELECT table_name, op, count(*) AS changes FROM located GROUP BY ALL""",
@@ -269,7 +282,12 @@ SELECT event_id, concat(upper(table_name), '_CDC') AS cdc_table, op, ts_ms,
     "snapshot_rows": """SELECT 'ORDERS_CDC' AS cdc_table, 'c' AS op,
     epoch_us(o_orderdate) // 1000 AS ts_ms, 'orders' AS schema_name,
     'struct' AS schema_type, CAST(6 AS INTEGER) AS n_fields, o_orderkey, o_custkey,
-    o_orderstatus, o_totalprice, o_orderpriority FROM orders""",
+    o_orderstatus, o_totalprice, o_orderpriority,
+    strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS ordered_at FROM orders""",
+    "snapshot_cells": """SELECT 'EMBEDDINGS_CDC' AS cdc_table, vec_id,
+    CAST(embedding[2] AS DOUBLE) AS second, CAST(len(embedding) AS INTEGER) AS n_components,
+    CAST(CASE WHEN vec_id % 3 <> 0 THEN label END AS INTEGER) AS label, true AS has_label_key,
+    concat('v', CAST(vec_id AS VARCHAR)) AS raw FROM embeddings""",
     "snapshot_text_rows": f"""WITH {TABLES}, {ORDER_ROWS}, {_row_tokens('named')},
 {_cells('split_text', 'o_orderkey, table_name, ts_ms')},
 all_cells AS (SELECT o_orderkey, table_name, ts_ms, table_name AS schema_name, key,
@@ -288,13 +306,25 @@ SELECT concat(upper(table_name), '_CDC') AS cdc_table, event_id // 500 AS batch,
     op AS operation, table_name AS schema_name, event_id AS payload_id FROM located""",
     "batch_bounds": IN_BOUNDS,
     "landed_counts": COUNTED,
-    "landed_stream": COUNTED,
+    "landed_stream": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, op AS operation, ts_ms, lsn,
+    event_id AS payload_id FROM located
+UNION ALL SELECT 'ORDERS_CDC', 'c', NULL, NULL, o_orderkey FROM orders""",
     "landed_table": f"""WITH {TABLES}, {TYPED_LOCATED}
 SELECT event_id, value, op AS operation, ts_ms, pipeline_id, lsn FROM located
 WHERE table_name = 'users'""",
     "landed_catalog_tables": IN_CATALOG,
     "followed_catalog_tables": IN_CATALOG,
     "bounded_landings": IN_BOUNDS,
+    "batch_bytes": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table, true AS in_bounds, true AS is_numbered,
+    op AS operation, event_id AS payload_id FROM located""",
+    "sliced_copy": f"""SELECT 'ORDERS_CDC' AS cdc_table, 'c' AS operation, o_orderkey,
+    CAST({inputs.SLICES} AS BIGINT) AS n_slices FROM orders""",
+    "migrated_rows": f"""WITH {CHANGES}, {TABLES}, {LOCATED}
+SELECT concat(upper(table_name), '_CDC') AS cdc_table,
+    concat('batch-', CAST(event_id % 4 AS VARCHAR)) AS land_id, op AS operation,
+    table_name AS schema_name, event_id AS payload_id FROM located""",
     "scoped_snapshot": SCOPED,
     "copied_tables": COPIED,
     "followed_rows": LANDED_ROWS,
@@ -326,6 +356,10 @@ SELECT coalesce(r.id, d.id) AS id, CASE WHEN r.id IS NULL THEN 'start'
         AND r.replication_id = d.replication_id THEN 'keep'
     ELSE 'restart' END AS action
 FROM running r FULL JOIN desired d ON r.id = d.id""",
+    "config_polls": f"""WITH {POLLED}
+SELECT 1 AS poll, id, 'start' AS action FROM v1
+UNION ALL SELECT 2, {_action('v1', 'v2')}
+UNION ALL SELECT 3, {_action('running', 'v3')}""",
     "config_removed": f"""WITH {RUNNING}, {DESIRED}
 SELECT id FROM running EXCEPT SELECT id FROM desired""",
     "latest_positions": f"""WITH {CHANGES}, {POSITIONS}

@@ -13,14 +13,16 @@ from rowharbor.functions.lsn import lsn_number
 from rowharbor.functions.types import type_label
 from rowharbor.operators import catalog, changes, numbering, offsets, packing, settings, snapshot
 from rowharbor.operators.lookup import stored
-from rowharbor.plans.jobs import copy_table, copy_tables, follow_log, land_log
+from rowharbor.plans.jobs import copy_slices, copy_table, copy_tables, follow_log, land_log
 from rowharbor.work_dir import remove_dir, work_dir
 from rowharbor.sources.spread import spread
 from rowharbor.sinks.dataset import (
     REJECTED,
     compact_landings,
+    migrate_schema_column,
     read_change_table,
     read_landed,
+    read_migrating,
     read_rejected,
     read_stored,
 )
@@ -219,9 +221,35 @@ def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.variant_get("payload", "$.o_orderstatus", "string").alias("o_orderstatus"),
         F.variant_get("payload", "$.o_totalprice", "double").alias("o_totalprice"),
         F.variant_get("payload", "$.o_orderpriority", "string").alias("o_orderpriority"),
+        _time_text(F.variant_get("payload", "$.o_orderdate", "timestamp_ntz")).alias("ordered_at"),
     )
 
 
+def _time_text(at: Column) -> Column:
+    return F.date_format(at, "yyyy-MM-dd HH:mm:ss")
+
+
+def snapshot_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of every kind in the copy of a typed table: an array, bytes, nulls, and how
+    each is stored."""
+    vectors = spread(inputs.table(spark, sf_dir, "embeddings")).select(
+        "vec_id",
+        "embedding",
+        F.when(F.col("vec_id") % 3 != 0, F.col("label")).alias("label"),
+        F.encode(F.concat(F.lit("v"), F.col("vec_id").cast("string")), "UTF-8").alias("raw"),
+    )
+    rows = snapshot.typed_snapshot(vectors, inputs.event_lookup(spark), inputs.VECTORS_OID)
+    got = {
+        "vec_id": F.variant_get("payload", "$.vec_id", "long"),
+        "second": F.variant_get("payload", "$.embedding[1]", "double"),
+        "n_components": F.size(F.variant_get("payload", "$.embedding", "array<variant>")),
+        "label": F.variant_get("payload", "$.label", "int"),
+        "has_label_key": F.array_contains(F.json_object_keys(F.to_json("payload")), "label"),
+        "raw": F.decode(F.variant_get("payload", "$.raw", "binary"), "UTF-8"),
+    }
+    return rows.select("cdc_table", *[value.alias(name) for name, value in got.items()])
+
+
 def snapshot_text_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = snapshot.text_snapshot(
         inputs.order_rows_text(spark, sf_dir),
@@ -277,6 +305,63 @@ def batch_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def batch_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches bounded by rows and bytes: whether each was in bounds, and whether a
+    table's batches are numbered without gaps."""
+    batches = packing.measured_batches(
+        _text_envelopes(spark, sf_dir), ["event_id"], batch_bytes=inputs.BATCH_BYTES
+    )
+    in_bounds = (F.col("n_rows") <= packing.BATCH_ROWS) & (F.col("n_bytes") <= inputs.BATCH_BYTES)
+    counts = batches.groupBy("cdc_table").agg(
+        (F.count("*") == F.max("batch") + 1).alias("right_count"),
+        (F.count_distinct("batch") == F.count("*")).alias("all_different"),
+    )
+    numbered = (F.col("right_count") & F.col("all_different") & (F.col("batch") >= 0)).alias("is_numbered")
+    checked = batches.join(counts, "cdc_table").select(
+        "cdc_table", "batch_json", in_bounds.alias("in_bounds"), numbered
+    )
+    flat = packing.flattened_batches(checked, keep=["cdc_table", "in_bounds", "is_numbered"])
+    return flat.select(
+        "cdc_table", "in_bounds", "is_numbered", "operation", _payload_id("payload").alias("payload_id")
+    )
+
+
+def sliced_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The initial copy of the orders in slices by customer, a key that repeats; the job
+    is done twice and copies each slice once."""
+    root, lookup = work_dir(spark, "sliced"), inputs.event_lookup(spark)
+    orders = inputs.table(spark, sf_dir, "orders")
+    for _ in range(2):
+        copy_slices(orders, lookup, inputs.ORDERS_OID, root, "first", "o_custkey", inputs.SLICES)
+    landed = read_landed(spark, root)
+    n_slices = landed.select(F.count_distinct("land_id").alias("n_slices"))
+    return landed.select(
+        "cdc_table", "operation", F.variant_get("payload", "$.o_orderkey", "long").alias("o_orderkey")
+    ).join(F.broadcast(n_slices))
+
+
+def migrated_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset whose schema column is text, half of its landings copied to variants."""
+    old, new = (work_dir(spark, f"migrated-{name}") for name in ("old", "new"))
+    envelopes = _text_envelopes(spark, sf_dir)
+    landing = F.concat(F.lit("batch-"), (F.col("event_id") % 4).cast("string"))
+    envelopes.select(
+        F.to_json("schema").alias("schema_database"),
+        "payload",
+        F.col("op").alias("operation"),
+        landing.alias("land_id"),
+        "cdc_table",
+    ).write.partitionBy("land_id", "cdc_table").parquet(old)
+    migrate_schema_column(spark, old, new, most=2)
+    return read_migrating(spark, old, new).select(
+        "cdc_table",
+        "land_id",
+        "operation",
+        F.variant_get("schema_database", "$.name", "string").alias("schema_name"),
+        _payload_id("payload").alias("payload_id"),
+    )
+
+
 def _counted(landed: DataFrame) -> DataFrame:
     return landed.groupBy("cdc_table", "operation").agg(F.count("*").alias("rows"))
 
@@ -306,7 +391,13 @@ def landed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         work_dir(spark, "landed-stream-checkpoint"),
         once=True,
     ).awaitTermination()
-    return _counted(read_landed(spark, root))
+    return read_landed(spark, root).select(
+        "cdc_table",
+        "operation",
+        F.when(F.col("lsn").isNotNull(), F.col("ts_ms")).alias("ts_ms"),  # a copy has the time of reading
+        "lsn",
+        F.coalesce(_payload_id("payload"), F.variant_get("payload", "$.o_orderkey", "long")).alias("payload_id"),
+    )
 
 
 def landed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,10 +429,7 @@ def scoped_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pipeline_id",
         F.variant_get("schema", "$.name", "string").alias("schema_name"),
         F.variant_get("payload", "$.o_orderkey", "long").alias("o_orderkey"),
-        F.date_format(
-            F.variant_get("payload", "$.o_orderdate", "timestamp_ntz"),
-            "yyyy-MM-dd HH:mm:ss",
-        ).alias("ordered_at"),
+        _time_text(F.variant_get("payload", "$.o_orderdate", "timestamp_ntz")).alias("ordered_at"),
     )
 
 
@@ -520,6 +608,21 @@ def config_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def config_polls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions of three polls; some of the second are not taken, so the third says
+    what to do about pipelines that run as the first version left them."""
+    running = settings.RunningSet(spark, work_dir(spark, "running"))
+    polls = []
+    for n, version in enumerate(inputs.settings_versions(spark, sf_dir), 1):
+        desired = settings.pipeline_settings(version)
+        path = work_dir(spark, f"poll-{n}")
+        running.poll(desired).write.parquet(path)
+        actions = spark.read.parquet(path)
+        running.took(desired, actions.where(f"NOT ({inputs.NOT_TAKEN})") if n == 2 else actions)
+        polls.append(actions.select(F.lit(n).alias("poll"), "id", "action"))
+    return functools.reduce(DataFrame.union, polls)
+
+
 def config_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settings.stopped_ids(
         inputs.running_settings(spark, sf_dir), inputs.desired_settings(spark, sf_dir)
@@ -566,6 +669,7 @@ QUERIES: dict[str, Query] = {
         envelopes,
         typed_envelopes,
         snapshot_rows,
+        snapshot_cells,
         snapshot_text_rows,
         snapshot_documents,
         batch_flatten,
@@ -584,8 +688,12 @@ QUERIES: dict[str, Query] = {
         landed_compacted,
         bounded_landings,
         followed_catalog_tables,
+        batch_bytes,
+        sliced_copy,
+        migrated_rows,
         config_scan,
         config_diff,
+        config_polls,
         config_removed,
         latest_positions,
         offset_upsert,
