@@ -30,10 +30,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowharbor.llm.scan import text_column
+from rowharbor.llm.tables import settled
 
 MIN_REVISIT_BYTES = 100
 CHUNK_BYTES = 1 << 20
 ARCHIVE_BYTES = 8 << 20
+#: Payloads that repeat are broadcast up to this many (some 100 bytes each).
+BROADCAST_ROWS = 200_000
 END = "\r\n\r\n"
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -148,14 +151,17 @@ def write_archives(
         payload.alias("html"),
         F.sha2(payload, 256).alias("digest"),
     )
-    firsts = (
+    firsts = settled(
         rows.where(F.octet_length("html") >= MIN_REVISIT_BYTES)
         .groupBy("digest")
         .agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
+        .drop("n")
     )
-    # a group of copies may be large; as a left side Spark can split it
-    placed = rows.join(firsts.drop("n"), "digest", "left").withColumn(
+    # pages stay where they are; if too many payloads repeat to be sent, the join has
+    # shuffles of its own, so that Spark can split the pages of a payload that many have
+    few = firsts.count() <= BROADCAST_ROWS
+    placed = rows.join(F.broadcast(firsts) if few else firsts, "digest", "left").withColumn(
         "refers_to", F.when(~F.col("first").eqNullSafe(F.col("page_id")), F.col("first"))
     )
     archived = placed.mapInArrow(_write_batches(chunk_bytes, archive_bytes), "archive int, value string")
