@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from rowharbor.llm.scan import mix, ranges, single_groups, text_slices, whole_groups
-from rowharbor.llm.tables import text_bytes
+from rowharbor.llm.tables import settled, text_bytes
 
 WIDTH = 50
 SEED = 20
@@ -435,7 +435,9 @@ def _copies(rows: DataFrame) -> DataFrame:
     ).where(F.col("size") >= WIDTH)
     same = ["name", "sum", "size"]
     least = named.groupBy(*same).agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    later = named.join(least.where("n > 1").drop("n"), same).where("doc_id > least")
+    # settled, so that the join has shuffles of its own and a text that many have is split
+    least = settled(least.where("n > 1").drop("n"))
+    later = named.join(least, same).where("doc_id > least")
     return later.groupBy("block").agg(F.collect_list(F.struct("doc_id", "text_hash")).alias("copies"))
 
 
@@ -451,7 +453,8 @@ def without_repeats(
         F.col(doc_id).cast("bigint").alias("doc_id"),
         F.col(text).alias("text"),
         F.hash(text).alias("text_hash"),
-        F.pmod(F.xxhash64(F.col(doc_id), F.lit("block")), F.lit(n_blocks)).cast("int").alias("block"),
+        # by the text too: rows that share an id are dealt like others
+        F.pmod(F.xxhash64(F.col(doc_id), F.hash(text), F.lit("block")), F.lit(n_blocks)).cast("int").alias("block"),
     )
     copies = _copies(rows)
     # read three times, shuffled once: the exchange is the same each time
