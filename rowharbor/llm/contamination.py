@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rowharbor.llm.scan import ascii_words, ranges, text_column, text_slices
+from rowharbor.llm.tables import with_own_columns
 
 WINDOW_WORDS = 10
 BLOCK_BYTES = 8 << 20
@@ -300,7 +301,8 @@ def contaminated(found: DataFrame) -> DataFrame:
     )
 
 
-def uncontaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """The documents that hold no benchmark window, with their own columns."""
-    kept = docs.columns
-    return contamination(docs, benchmark, **options).where("n_hit = 0").select(*kept)
+    return with_own_columns(
+        docs, lambda own, names: contamination(own, benchmark, text=names[text], **options).where("n_hit = 0")
+    )

@@ -29,6 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowharbor.llm.scan import mix, ranges, span_hashes, spans, text_column, text_slices
+from rowharbor.llm.tables import with_own_columns
 
 UNKNOWN = "und"
 NGRAMS = (4, 3, 2, 1)
@@ -252,8 +253,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(4)) == 2
 
 
-def recognised(docs: DataFrame, model: Model, min_score: float = 0.5) -> DataFrame:
-    """The documents whose language is known with a score of at least ``min_score``."""
-    kept = docs.columns
-    found = identify(docs, model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)).select(*kept)
+def recognised(docs: DataFrame, model: Model, min_score: float = 0.5, *, text: str = "text") -> DataFrame:
+    """The documents whose language is known with a score of at least ``min_score``, with
+    their own columns."""
+    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score)
+    return with_own_columns(docs, lambda own, names: identify(own, model, text=names[text]).where(known))

@@ -191,10 +191,10 @@ def mixed(docs: DataFrame, weights: dict[str, dict[str, int]], *, domain: Column
         .groupBy("row_key")
         .agg(F.max("copies").alias("copies"))
     )
-    kept = docs.columns
+    # the documents as one column: theirs may have any name
     return (
-        docs.withColumn("_row_key", key)
-        .join(chosen, F.col("_row_key") == F.col("row_key"))
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies")))
-        .select(*kept)
+        docs.select(F.struct("*").alias("document"), key.alias("own_key"))
+        .join(chosen, F.col("own_key") == F.col("row_key"))
+        .select("document", F.explode(F.sequence(F.lit(1), "copies")))
+        .select("document.*")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -28,3 +29,10 @@ def settled(df: DataFrame) -> DataFrame:
 def text_bytes(df: DataFrame, text: str) -> int:
     """UTF-8 bytes of all texts: one pass, one number."""
     return df.select(F.sum(F.octet_length(text))).first()[0] or 0
+
+
+def with_own_columns(docs: DataFrame, choose: Callable[[DataFrame, dict[str, str]], DataFrame]) -> DataFrame:
+    """What ``choose`` keeps of ``docs``, with their own columns, whatever these are called.
+    It sees them under names that nothing else has, and a map from the one to the other."""
+    names = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
+    return choose(docs.toDF(*names.values()), names).select(*names.values()).toDF(*docs.columns)
