@@ -8,8 +8,9 @@ the one with the greatest sum over its words.
 The model is fitted on a bounded sample of labelled texts: about
 ``texts_per_language`` of each language, whole texts, drawn by a hash. Of each
 language at most ``words_per_language`` words and ``ngrams_per_language`` n-grams
-of each length are kept, the most frequent ones, and at most ``max_languages``
-languages (the largest); these bounds also bound what is sent to the executors.
+of each length are kept, the most frequent ones. All languages are learned; with very
+many of them each has fewer words and n-grams, so that ``model_entries`` bounds what is
+sent to the executors.
 
 Defined results: a null text or one without a letter is ``und`` with score 0; with
 no labelled text at all everything is ``und``; null languages teach nothing; equal
@@ -29,10 +30,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowharbor.llm.scan import mix, ranges, span_hashes, spans, text_column, text_slices
-from rowharbor.llm.tables import with_own_columns
+from rowharbor.llm.tables import settled, with_own_columns
 
 UNKNOWN = "und"
 NGRAMS = (4, 3, 2, 1)
+#: Languages' shares are broadcast up to this many rows, joined by shuffle beyond.
+BROADCAST_LANGUAGES = 500_000
 SMOOTHING = 0.5
 
 
@@ -80,14 +83,35 @@ def _word_counts(text: str, lang: str):
     return run
 
 
-def _log_table(counts: dict[tuple, Counter], languages: list[str]):
-    """Sorted hashes and, per language, smoothed log frequencies less their mean."""
-    keys = sorted({k for c in counts.values() for k in c})
-    table = np.array([[counts[l].get(k, 0) for l in languages] for k in keys], float)
-    table = table.reshape(len(keys), len(languages)) + SMOOTHING
-    table = np.log(table / table.sum(axis=0, keepdims=True)) if len(keys) else table
-    table -= table.mean(axis=1, keepdims=True) if len(keys) else 0
-    return np.array(keys, np.uint64), table.astype(np.float32)
+class Table:
+    """Log frequencies of hashed keys by language, without those of the keys that a
+    language lacks: all these have the language's ``base``. Its size is that of what was
+    learned, however many languages there are."""
+
+    def __init__(self, counts: list[dict[int, int]]):
+        """``counts``: of each language, in order."""
+        sizes = [len(c) for c in counts]
+        keys = np.concatenate([np.fromiter(c, np.uint64, len(c)) for c in counts] or [np.zeros(0, np.uint64)])
+        values = np.concatenate([np.fromiter(c.values(), float, len(c)) for c in counts] or [np.zeros(0)])
+        owner = np.repeat(np.arange(len(counts)), sizes)
+        order = np.lexsort((owner, keys))
+        self.keys, first = np.unique(keys[order], return_index=True)
+        self.begin = np.append(first, len(keys))
+        self.language = owner[order].astype(np.int32)
+        self.more = np.log((values[order] + SMOOTHING) / SMOOTHING).astype(np.float32)
+        totals = np.bincount(owner, values, minlength=len(counts)) + SMOOTHING * len(self.keys)
+        self.base = np.log(SMOOTHING / totals) if len(self.keys) else np.zeros(len(counts))
+
+    def add(self, scores: np.ndarray, rows: np.ndarray, weights: np.ndarray, texts: np.ndarray) -> None:
+        """Add the weighted log frequencies of some keys to their texts' scores."""
+        n_texts, n_languages = scores.shape
+        scores += np.bincount(texts, weights, minlength=n_texts)[:, None] * self.base
+        count = self.begin[rows + 1] - self.begin[rows]
+        at = ranges(self.begin[rows], count)
+        cell = np.repeat(texts, count) * n_languages + self.language[at]
+        scores += np.bincount(
+            cell, np.repeat(weights, count) * self.more[at], minlength=n_texts * n_languages
+        ).reshape(n_texts, n_languages)
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -102,53 +126,41 @@ class Model:
 
     def __init__(self, words: dict[str, Counter], ngrams_per_language: int):
         self.languages = sorted(words)
-        hashed = {}
-        grams = {n: {l: Counter() for l in self.languages} for n in NGRAMS}
+        hashed, grams = [], {n: [] for n in NGRAMS}
         for l in self.languages:
-            own = list(words[l])
-            hashed[l] = Counter(dict(zip(_hash_words(own).tolist(), words[l].values())))
-            for w, count in words[l].items():
-                for n in NGRAMS:
+            hashed.append(dict(zip(_hash_words(list(words[l])).tolist(), words[l].values(), strict=True)))
+            for n in NGRAMS:
+                own: Counter = Counter()
+                for w, count in words[l].items():
                     for k in range(len(w) - n + 1):
-                        grams[n][l][w[k : k + n]] += count
-        self.words = _log_table(hashed, self.languages)
-        self.grams = {}
-        for n in NGRAMS:
-            kept = {}
-            for l in self.languages:
-                top = sorted(grams[n][l].items(), key=lambda g: (-g[1], g[0]))
-                top = top[:ngrams_per_language]
-                texts = [g for g, _ in top]
-                hashes = _gram_hashes(texts, n)
-                kept[l] = Counter(dict(zip(hashes.tolist(), (c for _, c in top))))
-            self.grams[n] = _log_table(kept, self.languages)
+                        own[w[k : k + n]] += count
+                top = sorted(own.items(), key=lambda g: (-g[1], g[0]))[:ngrams_per_language]
+                hashes = _gram_hashes([g for g, _ in top], n)
+                grams[n].append(dict(zip(hashes.tolist(), (c for _, c in top), strict=True)))
+        self.words = Table(hashed)
+        self.grams = {n: Table(counts) for n, counts in grams.items()}
 
     def score(self, points: np.ndarray, offsets: np.ndarray):
         """Per text: number of words, and summed scores by language."""
         starts, ends = spans(_letters()[points], offsets)
         values = _point_values(points)
-        word_rows = _lookup(self.words[0], span_hashes(values, starts, ends))
-        scores = np.zeros((len(starts), len(self.languages)), np.float32)
+        text = np.searchsorted(offsets, starts, side="right") - 1
+        scores = np.zeros((len(offsets) - 1, len(self.languages)))
+        word_rows = _lookup(self.words.keys, span_hashes(values, starts, ends))
         known = word_rows >= 0
-        scores[known] = self.words[1][word_rows[known]]
+        self.words.add(scores, word_rows[known], np.ones(known.sum()), text[known])
         open_ = np.flatnonzero(~known)
         for n in NGRAMS:
-            table, logs = self.grams[n]
+            table = self.grams[n]
             count = np.maximum(ends[open_] - starts[open_] - n + 1, 0)
             at = ranges(starts[open_], count)
-            rows = _lookup(table, _gram_values(values, at, n))
+            rows = _lookup(table.keys, _gram_values(values, at, n))
             word = np.repeat(np.arange(len(open_)), count)[rows >= 0]
-            rows = rows[rows >= 0]
             found = np.bincount(word, minlength=len(open_))
-            for l in range(len(self.languages)):
-                total = np.bincount(word, logs[rows, l], minlength=len(open_))
-                scores[open_, l] += np.where(found, total / np.maximum(found, 1), 0)
+            # a word counts once, by the mean of its known n-grams
+            table.add(scores, rows[rows >= 0], 1 / found[word], text[open_[word]])
             open_ = open_[found == 0]
-        first = np.searchsorted(starts, offsets)
-        sums = np.concatenate(
-            [np.zeros((1, len(self.languages))), np.cumsum(scores, axis=0, dtype=float)]
-        )
-        return np.diff(first), sums[first[1:]] - sums[first[:-1]]
+        return np.diff(np.searchsorted(starts, offsets)), scores
 
 
 def _gram_values(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -179,20 +191,26 @@ def fit(
     texts_per_language: int = 2000,
     words_per_language: int = 20_000,
     ngrams_per_language: int = 20_000,
-    max_languages: int = 200,
+    model_entries: int = 8_000_000,
 ) -> Model:
-    """A model of the labelled texts. ``doc_id`` only draws the sample."""
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    per = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
-    largest = per.orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    if not largest:
+    """A model of the labelled texts, of all their languages. ``doc_id`` only draws the
+    sample. A language has at most ``words_per_language`` words and
+    ``ngrams_per_language`` n-grams of each length; with very many languages each has
+    fewer, so that the model has at most some ``model_entries`` (12 bytes each)."""
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
+        F.col(text).alias("text"),
+        F.col(lang).alias("lang"),
+        F.pmod(F.xxhash64(F.col(doc_id), F.lit("language")), F.lit(1_000_000)).alias("draw"),
+    )
+    per = settled(rows.groupBy("lang").agg(F.count("*").alias("n")))
+    n_languages = per.count()
+    if not n_languages:
         return Model({}, ngrams_per_language)
-    draw = F.pmod(F.xxhash64(F.col(doc_id), F.lit("language")), F.lit(1_000_000))
-    kept = F.lit(False)
-    for name, n in largest:
-        share = -(-1_000_000 * texts_per_language // n)
-        kept |= (F.col(lang) == name) & (draw < share)
-    sample = rows.where(kept).select(F.col(text).alias("text"), F.col(lang).alias("lang"))
+    each = max(1, model_entries // (n_languages * (1 + len(NGRAMS))))
+    words_per_language, ngrams_per_language = min(words_per_language, each), min(ngrams_per_language, each)
+    shares = per.select("lang", F.ceil(F.lit(1_000_000 * texts_per_language) / F.col("n")).alias("share"))
+    few = n_languages <= BROADCAST_LANGUAGES
+    sample = rows.join(F.broadcast(shares) if few else shares, "lang").where("draw < share").select("text", "lang")
     counts = (
         sample.mapInArrow(_word_counts("text", "lang"), "lang string, word string, n bigint")
         .groupBy("lang", "word")

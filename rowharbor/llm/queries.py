@@ -63,7 +63,7 @@ def op6_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
     return decontamination.contaminated(found).select(
-        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "matches"
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"
     )
 
 
