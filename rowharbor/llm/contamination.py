@@ -27,6 +27,8 @@ from rowharbor.llm.tables import with_own_columns
 
 WINDOW_WORDS = 10
 BLOCK_BYTES = 8 << 20
+#: Places of items' windows that are joined at once (of a document, all of them).
+MATCHES_AT_ONCE = 1 << 20
 MATCHES = "array<struct<item_id:string,item_word:int,doc_word:int,n_words:int>>"
 
 
@@ -163,8 +165,11 @@ def _longest(
     return [doc[first], item[first], doc_word[first], item_word[first], reach]
 
 
-def _shard_matches(hashes, word_offsets, block: Suffixes, hit: np.ndarray):
-    """Marks hit words; returns the longest matches (doc, item, words, length)."""
+def _shard_matches(
+    hashes, word_offsets, block: Suffixes, hit: np.ndarray, with_matches: bool
+) -> Iterator[list[np.ndarray]]:
+    """Marks hit words; gives the longest matches (doc, item, words, length), those of
+    some documents at a time: many items may share the windows of a document."""
     shard = Shard(hashes, word_offsets, block)
     lo, hi = shard.search(block)
     met = np.flatnonzero(hi > lo)
@@ -176,16 +181,30 @@ def _shard_matches(hashes, word_offsets, block: Suffixes, hit: np.ndarray):
     np.add.at(steps, places, 1)
     np.add.at(steps, places + block.window_length[window], -1)
     hit |= np.cumsum(steps[:-1]) > 0
+    if not with_matches:
+        return
+    order = np.argsort(shard.doc[entry], kind="stable")
+    window, places, doc = window[order], places[order], shard.doc[entry][order]
     suffixes = np.diff(block.window_offsets)[window]
-    suffix = block.by_window[ranges(block.window_offsets[window], suffixes)]
-    doc = np.repeat(shard.doc[entry], suffixes)
-    doc_word = np.repeat(places - word_offsets[shard.doc[entry]], suffixes)
-    return _longest(
-        doc, block.owner[suffix], doc_word, block.item_word[suffix], block.length[suffix]
-    )
+    reached = np.cumsum(suffixes)
+    at = 0
+    while at < len(doc):
+        begun = reached[at] - suffixes[at]
+        last = max(int(np.searchsorted(reached, begun + MATCHES_AT_ONCE)), at)
+        to = int(np.searchsorted(doc, doc[min(last, len(doc) - 1)], side="right"))  # whole documents
+        own, many = window[at:to], suffixes[at:to]
+        suffix = block.by_window[ranges(block.window_offsets[own], many)]
+        yield _longest(
+            np.repeat(doc[at:to], many),
+            block.owner[suffix],
+            np.repeat(places[at:to] - word_offsets[doc[at:to]], many),
+            block.item_word[suffix],
+            block.length[suffix],
+        )
+        at = to
 
 
-def _search_batches(block, text: str, carried: list[str]):
+def _search_batches(block, text: str, carried: list[str], with_matches: bool):
     """A pass of one block: adds its hits and matches to the carried ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,11 +224,11 @@ def _search_batches(block, text: str, carried: list[str]):
                         at, to = word_offsets[k - row], word_offsets[k - row + 1]
                         bits = np.unpackbits(np.frombuffer(packed, np.uint8), count=to - at)
                         hit[at:to] = bits.astype(bool)
-                found = _shard_matches(hashes, word_offsets, suffixes, hit)
-                for doc, item, doc_word, item_word, n in zip(*[f.tolist() for f in found]):
-                    matches[row + doc].append(
-                        {"item_id": ids[item], "item_word": item_word, "doc_word": doc_word, "n_words": n}
-                    )
+                for found in _shard_matches(hashes, word_offsets, suffixes, hit, with_matches):
+                    for doc, item, doc_word, item_word, n in zip(*[f.tolist() for f in found]):
+                        matches[row + doc].append(
+                            {"item_id": ids[item], "item_word": item_word, "doc_word": doc_word, "n_words": n}
+                        )
                 n_words[row:end] = np.diff(word_offsets)
                 total = np.concatenate([[0], np.cumsum(hit)])
                 n_hit[row:end] = total[word_offsets[1:]] - total[word_offsets[:-1]]
@@ -255,16 +274,18 @@ def contamination(
     item_text: str = "text",
     width: int = WINDOW_WORDS,
     block_bytes: int = BLOCK_BYTES,
+    with_matches: bool = True,
 ) -> DataFrame:
     """``docs`` with n_words, n_hit, and ``matches``: per item the longest verbatim
-    matches of at least a window, where they begin (in words) and how long they are.
+    matches of at least a window, where they begin (in words) and how long they are; none
+    of them without ``with_matches``. Repeated items are searched once.
 
     Columns of ``docs`` named n_words, n_hit, matches or _hits are replaced.
     """
     spark = docs.sparkSession
     items = benchmark.select(
         F.col(item_id).cast("string").alias("id"), F.col(item_text).alias("text")
-    )
+    ).dropDuplicates(["id", "text"])
     size = items.select(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-size // block_bytes))
     block_of = F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks))
@@ -285,7 +306,7 @@ def contamination(
         # one block of about block_bytes, not the whole benchmark
         block = [tuple(r) for r in items.where(block_of == k).orderBy("id", "text").collect()]
         sent = spark.sparkContext.broadcast(Suffixes(block, width))
-        rows = rows.mapInArrow(_search_batches(sent, text, carried), schema)
+        rows = rows.mapInArrow(_search_batches(sent, text, carried, with_matches), schema)
     return rows.drop("_hits")
 
 
@@ -303,6 +324,9 @@ def contaminated(found: DataFrame) -> DataFrame:
 
 def uncontaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
     """The documents that hold no benchmark window, with their own columns."""
-    return with_own_columns(
-        docs, lambda own, names: contamination(own, benchmark, text=names[text], **options).where("n_hit = 0")
-    )
+
+    def clean(own: DataFrame, names: dict[str, str]) -> DataFrame:
+        found = contamination(own, benchmark, text=names[text], with_matches=False, **options)
+        return found.where("n_hit = 0")
+
+    return with_own_columns(docs, clean)
