@@ -14,6 +14,7 @@ from rowharbor.plans.jobs import (
     land_log,
     prepare_lookup,
 )
+from rowharbor.sinks.dataset import KEEP_HOURS, compact_landings, remove_unused
 from rowharbor.sources.change_log import read_text_log, read_typed_log
 from rowharbor.sources.database import read_catalog, read_table
 from rowharbor.streaming.landing import FLUSH_INTERVAL_MS, flush_limits
@@ -69,6 +70,10 @@ def arguments() -> argparse.ArgumentParser:
             job.add_argument("--max-rows", type=int, help="most records of a piece")
             job.add_argument("--tables", help="database to show the change tables in")
 
+    compact = jobs.add_parser("compact", help="make a dataset's landings one")
+    compact.add_argument("--root", required=True, help="dataset of change tables")
+    compact.add_argument("--keep-hours", type=float, default=KEEP_HOURS, help="for open readers")
+
     actions = jobs.add_parser("actions", help="compare two versions of the settings")
     actions.add_argument("--running", required=True)
     actions.add_argument("--desired", required=True)
@@ -82,6 +87,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         columns = read_catalog(spark, options, args.publication)
         columns.write.mode("overwrite").parquet(args.columns)
         return
+    if args.job == "compact":
+        compact_landings(spark, args.root)
+        remove_unused(spark, args.root, args.keep_hours)
+        return
     if args.job == "actions":
         running, desired = (
             pipeline_settings(spark.read.parquet(path))

@@ -38,10 +38,10 @@ def test_columns_of_one_publication_in_order(spark):
     columns = catalog.catalog_columns(*catalogs(spark), "pub")
     rows = [tuple(r) for r in catalog.order_catalog(columns).collect()]
     assert rows == [
-        ("9000", "users", 1, "id", "int8"),
-        ("16400", "orders", 1, "id", "int8"),
-        ("16400", "orders", 2, "total", "int4"),
-        ("16400", "orders", 10, "at", "timestamptz"),
+        ("9000", "users", 1, "id", "int8", "public"),
+        ("16400", "orders", 1, "id", "int8", "public"),
+        ("16400", "orders", 2, "total", "int4", "public"),
+        ("16400", "orders", 10, "at", "timestamptz", "public"),
     ]
 
 

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from rowharbor.__main__ import arguments, run
 from rowharbor.operators.offsets import resume_position
-from rowharbor.sinks.dataset import read_change_table
+from rowharbor.sinks.dataset import read_change_table, read_rejected
 
 
 def test_land_follow_and_compare(spark, tmp_path):
@@ -20,10 +20,14 @@ def test_land_follow_and_compare(spark, tmp_path):
     shared = ["--log", log, "--columns", columns, "--root", root]
     run(spark, arguments().parse_args(["land", *shared, "--name", "first"]))
     follow = ["follow", *shared, "--name", "main", "--checkpoints", state, "--once"]
-    kept = ["--rejects", out + "/rejects", "--offsets", "default.main_positions"]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS main_shown LOCATION '{tmp_path / 'db'}'")
+    kept = ["--rejects", "--offsets", "default.main_positions", "--max-rows", "4", "--tables", "main_shown"]
     run(spark, arguments().parse_args([*follow, "--max-files", "1", "--compact", *kept]))
     assert resume_position(spark, "main_positions", 1) == "0/5"
-    assert spark.read.schema("event_text string").parquet(out + "/rejects").count() == 0
+    assert read_rejected(spark, root).count() == 0
+    assert spark.table("main_shown.USERS_CDC").count() == 12
+    spark.sql("DROP DATABASE main_shown CASCADE")
+    run(spark, arguments().parse_args(["compact", "--root", root]))
     rows = read_change_table(spark, root, "users")
     ids = rows.select(F.variant_get("payload", "$.id", "int")).collect()
     assert sorted(r[0] for r in ids) == sorted([*range(6), *range(6)])
