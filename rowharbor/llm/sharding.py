@@ -3,7 +3,10 @@
 The root holds all rows. A node that is to become several shards looks for the
 dimension along which its rows spread widest, weighted by bytes, and is cut there so
 that both sides get bytes in proportion to the shards they are to become; with N
-shards the leaves reach 1/N of all bytes. Rows of equal value are ordered by their
+shards the leaves reach 1/N of all bytes. Dimensions are in order: the logarithm of the
+size, and names by alphabet, each at the share of all bytes that the names before it
+have. Spread is variance over the square of the dimension's range at the root, so that
+unlike dimensions compare. Rows of equal value are ordered by their
 text, then by their row key, so that equal texts stay in one shard unless their
 group is so large that shards of near equal size must divide it.
 
@@ -26,6 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowharbor.llm.tables import settled
+from rowharbor.operators.numbering import with_running
 
 BINS = 2048
 ROW_OVERHEAD = 8
@@ -36,6 +40,8 @@ CLOSE_ENOUGH = 0.001
 #: Keys have 32 bits; three histograms find one value.
 KEY_SCALES = (1 << 21, 1 << 10, 1)
 SLOT_ROWS = 5_000
+#: Places of names are broadcast up to this many rows, joined by shuffle beyond.
+BROADCAST_NAMES = 200_000
 
 
 @dataclass(frozen=True)
@@ -73,8 +79,10 @@ def _histograms(rows: DataFrame, key: Column) -> dict[int, list[tuple[int, int]]
     return {k: sorted(v) for k, v in out.items()}
 
 
-def _split_level(rows: DataFrame, nodes: list[Node], n_dimensions: int, shard_bytes: float):
-    """Cuts every node that is to become more than one shard."""
+def _split_level(rows: DataFrame, nodes: list[Node], widths: list[float], shard_bytes: float):
+    """Cuts every node that is to become more than one shard; ``widths`` are the ranges of
+    the dimensions at the root."""
+    n_dimensions = len(widths)
     measures = [F.sum("size").alias("size")]
     for d in range(n_dimensions):
         at = F.col("at")[d]
@@ -88,7 +96,7 @@ def _split_level(rows: DataFrame, nodes: list[Node], n_dimensions: int, shard_by
             continue
         s = stats[node.first]
         spread = [
-            s[f"square_{d}"] / s["size"] - (s[f"sum_{d}"] / s["size"]) ** 2
+            (s[f"square_{d}"] / s["size"] - (s[f"sum_{d}"] / s["size"]) ** 2) / widths[d] ** 2
             for d in range(n_dimensions)
         ]
         chosen[node.first] = max(range(n_dimensions), key=lambda d: (spread[d], d))
@@ -141,9 +149,15 @@ def _split_level(rows: DataFrame, nodes: list[Node], n_dimensions: int, shard_by
     return settled(rows.withColumn("node", moved).drop("value")), split
 
 
-def _rank(value: Column) -> Column:
-    """A name's place on a dimension of 0 to BINS - 1; nulls are lowest."""
-    return F.coalesce(F.pmod(F.xxhash64(value), F.lit(BINS)), F.lit(0)).cast("long")
+def _with_places(rows: DataFrame, name: str, total: int) -> DataFrame:
+    """Rows with the place of their name, 0 to BINS - 1: the share of all bytes that the
+    names before it have. Names are summed up over ranges of the alphabet."""
+    names = rows.groupBy(name).agg(F.sum("size").alias("bytes"))
+    running = with_running(names, [], [name], {"before": F.col("bytes")})
+    place = F.floor(F.col("before") * F.lit(float(BINS)) / F.lit(max(total, 1)))
+    places = settled(running.select(F.col(name).alias("known"), F.least(place, F.lit(BINS - 1)).cast("long").alias("place")))
+    few = places.count() <= BROADCAST_NAMES
+    return rows.join(F.broadcast(places) if few else places, F.col(name) == F.col("known")).drop(name, "known").withColumnRenamed("place", name)
 
 
 def _log_rank(value: Column, scale: float) -> Column:
@@ -170,9 +184,14 @@ def shards(
         (F.octet_length(body) + ROW_OVERHEAD).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
         F.xxhash64(body).alias("text_hash"),
-        *[_rank(F.col(c)).alias(f"of_{c}") for c in present],
+        # null and empty names are lowest
+        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"of_{c}") for c in present],
     )
     rows = settled(rows)
+    total = rows.select(F.sum("size")).first()[0] or 0
+    for c in present:
+        rows = _with_places(rows, f"of_{c}", total)
+    rows = settled(rows)
     group = ["text_crc32", "text_hash", "size"]
     least = rows.groupBy(*group).agg(*[F.min(f"of_{c}").alias(f"at_{c}") for c in present], F.count("*").alias("copies"))
     # settled, so that the join has shuffles of its own and a hot text's rows are split
@@ -187,10 +206,12 @@ def shards(
         F.lit(0).cast("long").alias("node"),
     )
     rows = settled(rows)
-    total = rows.select(F.sum("size")).first()[0] or 0
+    places = [F.col("at")[d] for d in range(1 + len(present))]
+    ranges = rows.agg(*[(F.max(at) - F.min(at)).cast("double") for at in places]).first()
+    widths = [float(r or 0) or 1.0 for r in ranges]
     nodes = [Node(0, n_shards)]
     for _ in range(max(n_shards - 1, 0).bit_length()):
-        rows, nodes = _split_level(rows, nodes, 1 + len(present), total / n_shards)
+        rows, nodes = _split_level(rows, nodes, widths, total / n_shards)
     placed = rows.select(
         "doc_id",
         "size",
