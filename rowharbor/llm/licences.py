@@ -208,6 +208,8 @@ def _examples(docs: DataFrame, text: str, sample_paragraphs: int) -> DataFrame:
     share = min(1_000_000, -(-1_000_000 * sample_paragraphs // max(docs.count(), 1)))
     blocks = (
         docs.where(F.pmod(F.xxhash64(text), F.lit(1_000_000)) < share)
+        # in an order of their own, so that the same texts are drawn however they are stored
+        .orderBy(F.xxhash64(text), text)
         .limit(sample_paragraphs)
         .select(F.explode(F.split(text, BLANK_LINES)).alias("block"))
     )
