@@ -18,7 +18,7 @@ from rowharbor.sinks.dataset import KEEP_HOURS, compact_landings, remove_unused
 from rowharbor.sources.change_log import read_text_log, read_typed_log
 from rowharbor.sources.database import read_catalog, read_table
 from rowharbor.streaming.landing import FLUSH_INTERVAL_MS, flush_limits
-from rowharbor.work_dir import work_dir
+from rowharbor.work_dir import remove_old_work, work_dir
 
 
 def first_line(spark: SparkSession, path: str) -> str:
@@ -74,6 +74,9 @@ def arguments() -> argparse.ArgumentParser:
     compact.add_argument("--root", required=True, help="dataset of change tables")
     compact.add_argument("--keep-hours", type=float, default=KEEP_HOURS, help="for open readers")
 
+    clean = jobs.add_parser("clean", help="delete old work folders under spark.checkpoint.dir")
+    clean.add_argument("--hours", type=float, required=True, help="older than this")
+
     actions = jobs.add_parser("actions", help="compare two versions of the settings")
     actions.add_argument("--running", required=True)
     actions.add_argument("--desired", required=True)
@@ -87,6 +90,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         columns = read_catalog(spark, options, args.publication)
         columns.write.mode("overwrite").parquet(args.columns)
         return
+    if args.job == "clean":
+        remove_old_work(spark, args.hours)
+        return
     if args.job == "compact":
         compact_landings(spark, args.root)
         remove_unused(spark, args.root, args.keep_hours)

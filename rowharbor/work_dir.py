@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import time
 import uuid
@@ -10,6 +11,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+#: Names that ``work_dir`` gives.
+OWN_NAME = re.compile(r".-[0-9a-f]{32}$")
 
 
 @functools.cache
@@ -31,12 +34,27 @@ def files_below(spark: SparkSession, pattern: str) -> list[tuple[str, float]]:
     return [(f.getPath().toString(), (now - f.getModificationTime()) / 3_600_000) for f in found]
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    shared = spark.conf.get(CHECKPOINT_SETTING, None)
+    if shared:
+        return shared
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a shared folder")
+    return _local_folder()
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new directory for ``name`` in the folder all executors share, as the
     session names it. Only a local session may do without the setting."""
-    shared = spark.conf.get(CHECKPOINT_SETTING, None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a shared folder")
-        shared = _local_folder()
-    return f"{shared}/{name}-{uuid.uuid4().hex}"
+    return f"{_shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_old_work(spark: SparkSession, hours: float) -> list[str]:
+    """Delete the directories of ``work_dir`` that were made more than ``hours`` ago: what
+    results were read from may be needed until they are written elsewhere. Returns what
+    was deleted; other files in the folder stay."""
+    found = files_below(spark, f"{_shared_folder(spark)}/*")
+    old = [path for path, age in found if age > hours and OWN_NAME.search(path.rsplit("/", 1)[-1])]
+    for path in old:
+        remove_dir(spark, path)
+    return old

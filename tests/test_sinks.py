@@ -154,3 +154,15 @@ def test_landing_again_replaces_itself_in_dynamic_mode(spark, tmp_path):
     finally:
         spark.conf.unset(key)
     assert set(counts(dataset.read_landed(spark, root), "cdc_table")) == {("USERS_CDC",)}
+
+
+def test_old_work_is_removed_and_nothing_else(spark, tmp_path, monkeypatch):
+    from rowharbor import work_dir
+
+    monkeypatch.setattr(work_dir, "_shared_folder", lambda spark: str(tmp_path))
+    own = work_dir.work_dir(spark, "mine")
+    for path in (own, str(tmp_path / "theirs"), str(tmp_path / "uuid-1-2-3")):
+        spark.range(1).write.parquet(path)
+    assert work_dir.remove_old_work(spark, 1) == []
+    assert [p.rsplit("/", 1)[1] for p in work_dir.remove_old_work(spark, -1)] == [own.rsplit("/", 1)[1]]
+    assert sorted(os.listdir(tmp_path)) == ["theirs", "uuid-1-2-3"]
