@@ -252,3 +252,22 @@ def test_numbers_are_consecutive_in_groups_of_any_size(spark, monkeypatch):
         by.setdefault(r.k, []).append((r.number, r.id))
     assert all([n for n, _ in v] == list(range(len(v))) for v in by.values())
     assert all([i for _, i in v] == sorted(i for _, i in v) for v in by.values()) and len(found) == 3000
+
+
+def test_compacted_files_are_in_log_order(spark, tmp_path):
+    root = str(tmp_path)
+    rows = envelopes(spark, 0, 3000)
+    place = F.struct(
+        F.lit("2024-01-01").cast("timestamp").alias("at"),
+        F.lit("f").alias("file"),
+        F.lit(0).cast("long").alias("block"),
+        F.pmod(F.xxhash64(F.to_json("payload")), F.lit(1 << 40)).alias("row"),
+    )
+    for n in range(3):
+        dataset.land(rows.withColumn("position", place), root, f"l{n}")
+    dataset.compact_landings(spark, root)
+    files = dataset.read_landed(spark, root).inputFiles()
+    assert len(files) == 3
+    for file in files:
+        found = [r[0] for r in spark.read.parquet(file).select("position.row").collect()]
+        assert len(found) == 3000 and found == sorted(found)
