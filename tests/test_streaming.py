@@ -11,8 +11,9 @@ from rowharbor.operators import changes
 from rowharbor.plans import jobs
 from rowharbor.sinks import dataset
 from rowharbor.sinks.landings import Refused, landings
-from rowharbor.sources import change_log
+from rowharbor.sources import change_log, spread
 from rowharbor.streaming import landing
+from workload import inputs
 
 
 def write_file(spark, path, first, count, mode="append"):
@@ -364,3 +365,35 @@ def test_positions_of_line_logs_follow_the_lines(spark, where, file_format):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     rows = dataset.in_log_order(dataset.read_landed(spark, where["root"]))
     assert [r[0] for r in rows.select(F.variant_get("payload", "$.id", "int")).collect()] == list(range(10000))
+
+
+def test_a_file_of_one_row_group_is_landed_by_tasks_of_bounded_size(spark, where, monkeypatch):
+    monkeypatch.setattr(spread, "TASK_ROWS", 500)
+    write_file(spark, where["log"], 0, 10_000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:  # many slices, one of which has all records
+        assert spark.read.parquet(where["log"]).rdd.getNumPartitions() > spread.MOST_MOVED
+        follow(spark, where, lookup_of(spark))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    landed = dataset.read_landed(spark, where["root"])
+    sizes = [r["count"] for r in landed.groupBy(F.input_file_name(), "cdc_table").count().collect()]
+    assert ids(landed) == [i for i in range(10_000) if i % 4 != 3] and max(sizes) < 2 * spread.TASK_ROWS
+    rows = dataset.in_log_order(landed.where("cdc_table = 'USERS_CDC'"))
+    order = [r[0] for r in rows.select(F.variant_get("payload", "$.id", "int")).collect()]
+    assert order == [i for i in range(10_000) if i % 4 != 3 and i % 3 == 0]
+
+
+def test_the_log_of_the_workload_is_written_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inputs, "FILE_ROWS", 400)
+    events = spark.range(0, 6000, 1, 3).selectExpr(
+        "id AS event_id", "TIMESTAMP_NTZ '2024-01-01 00:00:00' AS ts", "id % 7 AS user_id",
+        "'signup' AS event_type", "CAST(id AS double) AS value", "'{}' AS props",
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    inputs.log_in_files(spark, str(tmp_path), str(tmp_path / "log"))
+    written = spark.read.parquet(str(tmp_path / "log")).withColumn("file", F.input_file_name())
+    files = written.groupBy("file").agg(F.count("*").alias("n"), F.min("event_id").alias("low"), F.max("event_id"))
+    found = [tuple(r)[1:] for r in files.orderBy("low").collect()]
+    assert sum(n for n, _, _ in found) == 6000 and max(n for n, _, _ in found) <= 800 and len(found) >= 9
+    assert all(n == high - low + 1 for n, low, high in found)
