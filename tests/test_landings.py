@@ -10,6 +10,7 @@ from rowharbor.operators import changes, numbering, packing, settings
 from rowharbor.plans import jobs
 from rowharbor.sinks import dataset, landings as ledger, tables
 from rowharbor.sinks.versions import Versions
+from rowharbor.sources import spread
 from test_plans import exchanges, plan
 from test_streaming import KEPT, follow, ids, log, where, write_file  # noqa: F401
 
@@ -133,6 +134,39 @@ def test_pieces_hold_so_many_records(spark, where, most):  # noqa: F811
     assert ids(dataset.read_landed(spark, where["root"])) == KEPT
 
 
+def test_pieces_share_files(spark, where, tmp_path, monkeypatch):  # noqa: F811
+    monkeypatch.setattr(spread, "TASK_ROWS", 100)
+    write_file(spark, where["log"], 0, 600)
+    records = spark.read.parquet(where["log"])
+    jobs.land_log(records, lookup_of(spark), where["root"], "all", rejects=True, most_rows=5)
+    stored = dataset.read_stored(spark, where["root"]).withColumn("file", F.input_file_name())
+    sizes = [tuple(r) for r in stored.groupBy("piece").count().orderBy("piece").collect()]
+    assert sizes == [(n, 5) for n in range(120)]
+    # files come from tasks and tables, not from pieces; a piece is written by one task
+    assert stored.select("file").distinct().count() <= 8 * 4
+    by_table = stored.groupBy("piece", "cdc_table").agg(F.count_distinct("file").alias("n"))
+    assert {r["n"] for r in by_table.collect()} == {1}
+    database = "shown_pieces"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path / 'db'}'")
+    tables.register_landings(spark, where["root"], database)
+    in_catalog = spark.table(f"{database}.USERS_CDC").count()
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+    assert in_catalog == stored.where("cdc_table = 'USERS_CDC'").count()
+
+
+def test_pieces_in_directories_of_their_own_are_still_read(spark, tmp_path):
+    root = str(tmp_path)
+    rows = dataset.change_rows(envelopes(spark, 0, 30))
+    rows.withColumn("piece", F.lit(7).cast("long")).write.partitionBy(
+        "piece", "cdc_table"
+    ).parquet(f"{root}/land_id=old/part=p")
+    ledger.commit(spark, root, {"old": "p"})
+    dataset.land(envelopes(spark, 30, 10).withColumn("piece", F.lit(2).cast("long")), root, "new")
+    stored = dataset.read_stored(spark, root)
+    assert {tuple(r) for r in stored.groupBy("land_id", "piece").count().collect()} == {("old", 7, 30), ("new", 2, 10)}
+    assert landed_ids(dataset.read_landed(spark, root)) == list(range(40))
+
+
 def test_landings_are_shown_all_or_none(spark, tmp_path, monkeypatch):
     root, database = str(tmp_path / "root"), "shown_landings"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_path / 'db'}'")
