@@ -305,3 +305,42 @@ def test_compacted_files_are_in_log_order(spark, tmp_path):
     for file in files:
         found = [r[0] for r in spark.read.parquet(file).select("position.row").collect()]
         assert len(found) == 3000 and found == sorted(found)
+
+
+def test_a_compaction_deals_a_table_to_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dataset, "TASK_ROWS", 50, raising=False)
+    root = str(tmp_path)
+    number = F.variant_get("payload", "$.id", "long")
+    place = F.struct(
+        F.lit("2024-01-01").cast("timestamp").alias("at"),
+        F.lit("f").alias("file"),
+        F.lit(0).cast("long").alias("block"),
+        number.alias("row"),
+    )
+    for n in range(3):
+        users = envelopes(spark, 600 * n, 600).where("cdc_table = 'USERS_CDC'")
+        # a copy's rows have no position
+        dataset.land(users if n == 0 else users.withColumn("position", place), root, f"l{n}")
+    want = landed_ids(dataset.read_landed(spark, root))
+    dataset.compact_landings(spark, root)
+    rows = dataset.read_landed(spark, root)
+    assert landed_ids(rows) == want and len(want) == 600
+    files = rows.groupBy(F.input_file_name()).agg(
+        F.count("*").alias("n"),
+        F.count("position").alias("m"),
+        F.min("position.row").alias("low"),
+        F.max("position.row").alias("high"),
+    ).collect()
+    assert len(files) >= 10 and max(f.n for f in files) < 2 * 50
+    ranges = sorted((f.low, f.high) for f in files if f.m)
+    assert all(before[1] < after[0] for before, after in zip(ranges, ranges[1:]))
+
+
+def test_wide_rows_are_compacted_by_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dataset, "TASK_BYTES", 2000, raising=False)
+    root = str(tmp_path)
+    for n in range(2):
+        dataset.land(envelopes(spark, 300 * n, 300).where("cdc_table = 'USERS_CDC'"), root, f"l{n}")
+    dataset.compact_landings(spark, root)
+    rows = dataset.read_landed(spark, root)
+    assert len(rows.inputFiles()) > 2 and rows.count() == 200
