@@ -2,7 +2,9 @@ import json
 import shutil
 import time
 from pathlib import Path
+from urllib.parse import urlparse
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -384,6 +386,20 @@ def test_a_file_of_one_row_group_is_landed_by_tasks_of_bounded_size(spark, where
     assert order == [i for i in range(10_000) if i % 4 != 3 and i % 3 == 0]
 
 
+def test_a_stream_writes_variants_whole_and_a_compaction_takes_them_apart(spark, where):
+    def apart():
+        files = dataset.read_landed(spark, where["root"]).inputFiles()
+        return {"typed_value" in str(pq.read_schema(urlparse(file).path).field("payload").type) for file in files}
+
+    for i in range(2):
+        write_file(spark, where["log"], 60 * i, 60)
+    setting = spark.conf.get(jobs.SHREDDING)
+    follow(spark, where, lookup_of(spark), **landing.flush_limits(max_files=1))
+    assert apart() == {False} and spark.conf.get(jobs.SHREDDING) == setting
+    dataset.compact_landings(spark, where["root"])
+    assert apart() == {setting == "true"} and ids(dataset.read_landed(spark, where["root"])) == KEPT
+
+
 def test_the_log_of_the_workload_is_written_in_bounded_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(inputs, "FILE_ROWS", 400)
     events = spark.range(0, 6000, 1, 3).selectExpr(
